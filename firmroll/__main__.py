@@ -28,7 +28,7 @@ def parser() -> argparse.ArgumentParser:
     publish.add_argument("old_period", nargs="?", help="period of the table that is live now")
     publish.add_argument("--table", required=True)
     publish.add_argument("--as-of", type=dt.date.fromisoformat, default=None, help="day to count ages to; today")
-    publish.add_argument("--path", help="write an external table below this path")
+    publish.add_argument("--path", help="folder for snapshots; default beside the database")
 
     for command in (stage, publish):
         command.add_argument("--database")

@@ -19,21 +19,27 @@ def archive_name(table: str, period: str, old_period: str | None = None) -> str:
     return f"{table}_{compact_period(period)}_bkp"
 
 
-def write_snapshot(df: DataFrame, table: str, path: str | None = None) -> None:
-    """Write rows partitioned by state and sorted by key within each file.
+def snapshot_root(spark: SparkSession, table: str) -> str:
+    """Default folder for the snapshots of a table: beside the tables of its database."""
+    database, _, name = table.rpartition(".")
+    location = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{location.rstrip('/')}/{name}_snapshots"
+
+
+def write_snapshot(df: DataFrame, table: str, path: str) -> None:
+    """Write rows partitioned by state and sorted by key within each file, as an external table at ``path``.
 
     The partition column is the never-blank state label, since a blank partition value would come back as NULL.
     Numbered rows arrive ranged by state and key, so each task holds few states and no shuffle is added here.
     """
-    writer = (
+    (
         df.sortWithinPartitions(PARTITION, *LAYOUT)
         .write.mode("errorifexists")
         .format("parquet")
         .partitionBy(PARTITION)
+        .option("path", path)
+        .saveAsTable(table)
     )
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
 
 
 def _rename(spark: SparkSession, old: str, new: str) -> None:
@@ -51,15 +57,18 @@ def publish_snapshot(
 
     The new rows are written beside the live table first, so that a failing job leaves it untouched; then only names
     change. A failure between the renames undoes exactly what this call did, and an archive of the same name from an
-    earlier call is given up only after the swap succeeded. With ``path`` the table is external, in a new folder below
-    it, so that renaming touches the catalog alone and moves no files, also on an object store.
+    earlier call is given up only after the swap succeeded. Each snapshot is an external table in a new folder below
+    ``path``: renaming touches the catalog alone and moves no files, also on an object store. Dropping a table that
+    an archive of the same name replaces leaves its folder, which readers may still be using, to the storage's
+    retention rule.
     """
     spark = df.sparkSession
     fresh = f"{table}_{compact_period(period)}_new"
     archive = archive_name(table, period, old_period)
     replaced = f"{archive}_replaced"
 
-    folder = f"{path.rstrip('/')}/{compact_period(period)}-{uuid.uuid4().hex}" if path else None
+    root = (path or snapshot_root(spark, table)).rstrip("/")
+    folder = f"{root}/{compact_period(period)}-{uuid.uuid4().hex}"
     _drop(spark, fresh)
     try:
         write_snapshot(df, fresh, folder)
