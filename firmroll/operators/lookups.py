@@ -41,19 +41,22 @@ def measure_lookups(sources: Mapping[str, tuple[DataFrame, str, str]]) -> dict[s
         for name, (df, code, description) in sources.items()
     }
     width = F.coalesce(F.octet_length("code"), F.lit(0)) + F.coalesce(F.octet_length("description"), F.lit(0))
-    measured = [
-        table.groupBy("code")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum((width + ROW_OVERHEAD_BYTES).cast("long")).alias("size"))
-        .agg(
-            F.coalesce(F.max(F.when(F.col("code").isNotNull(), F.col("n"))), F.lit(0)).alias("most"),
-            F.coalesce(F.sum("size"), F.lit(0)).alias("size"),
-        )
-        .select(F.lit(name).alias("name"), "most", "size")
+    sized = [
+        table.select(F.lit(name).alias("name"), "code", (width + ROW_OVERHEAD_BYTES).cast("long").alias("size"))
         for name, table in tables.items()
     ]
-    rows = {row["name"]: row for row in reduce(DataFrame.unionByName, measured).collect()}
+    measured = (
+        reduce(DataFrame.unionByName, sized)
+        .groupBy("name", "code")
+        .agg(F.count("code").alias("n"), F.sum("size").alias("size"))
+        .groupBy("name")
+        .agg(F.max("n").alias("most"), F.sum("size").alias("size"))
+        .collect()
+    )
+    found = {row["name"]: row for row in measured}
     return {
-        name: Lookup(table, rows[name]["most"] <= 1, int(rows[name]["size"])) for name, table in tables.items()
+        name: Lookup(table, name not in found or found[name]["most"] <= 1, found[name]["size"] if name in found else 0)
+        for name, table in tables.items()
     }
 
 

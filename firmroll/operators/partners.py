@@ -14,10 +14,13 @@ from firmroll.operators.numbering import number_rows
 KEY = "cnpj_basico"
 RANK = "rn"
 
-# Dates are compared as text, so an undated partner counts as the oldest. Name decides next; the remaining columns
-# only make the order total.
+# Dates are compared as text, so an undated partner counts as the oldest; the name decides next. The other columns
+# only make the order total. Those that the pivot does not show come last: rows that differ in nothing else give the
+# same pivot in any order, so the pivot can prune them at the scan.
 _LEADING = ["data_entrada_sociedade", "nome_socio_razao_social"]
-SENIORITY = _LEADING + [name for name in FEED_COLUMNS["socios"] if name != KEY and name not in _LEADING]
+_SHOWN = [name for name in FEED_COLUMNS["socios"] if name in PIVOT_SOURCES.values() and name not in _LEADING]
+_NOT_SHOWN = [name for name in FEED_COLUMNS["socios"] if name not in PIVOT_SOURCES.values() and name != KEY]
+SENIORITY = _LEADING + _SHOWN + _NOT_SHOWN
 
 
 def partner_rank(partners: DataFrame, hot: Sequence[str] | None = None) -> DataFrame:
@@ -26,13 +29,14 @@ def partner_rank(partners: DataFrame, hot: Sequence[str] | None = None) -> DataF
 
 
 def senior_partners(partners: DataFrame, n: int) -> DataFrame:
-    """The ``n`` most senior partners per company.
+    """The ``n`` most senior partners per company, with the columns that the pivot shows.
 
     The rank filter sits right on the window, so each task keeps at most ``n`` rows per company *before* the
     shuffle; a company with a third of all partners sends ``n`` rows per task.
     """
-    window = Window.partitionBy(KEY).orderBy(*SENIORITY)
-    return partners.withColumn(RANK, F.row_number().over(window)).where(F.col(RANK) <= n)
+    window = Window.partitionBy(KEY).orderBy(*_LEADING, *_SHOWN)
+    shown = partners.select(KEY, *PIVOT_SOURCES.values())
+    return shown.withColumn(RANK, F.row_number().over(window)).where(F.col(RANK) <= n)
 
 
 def top_partners(
