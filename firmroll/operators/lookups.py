@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -60,13 +60,16 @@ def measure_lookups(sources: Mapping[str, tuple[DataFrame, str, str]]) -> dict[s
     }
 
 
-def describe(df: DataFrame, lookup: Lookup, code: str, out: str) -> DataFrame:
+def describe(
+    df: DataFrame, lookup: Lookup, code: str, out: str, hot: Sequence[str | None] | None = None
+) -> DataFrame:
     """Add ``out``, the description of column ``code``; NULL without a match, one row per match if codes repeat.
 
     A dictionary within the measured limit is broadcast, so the large side does not move. A larger one is joined by
-    shuffle, with the codes that many rows share spread over several tasks.
+    shuffle, with the codes that many rows share, ``hot``, spread over several tasks. None looks for them in ``df``,
+    which runs its plan; give them where ``df`` is more than a scan.
     """
     table = lookup.table.select(F.col("code").alias(code), F.col("description").alias(out))
     if lookup.small:
         return df.join(F.broadcast(table), code, "left")
-    return left_join_all(df, [table], code)
+    return left_join_all(df, [table], code, hot)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from firmroll.fixed_values import FEED_COLUMNS, PARTNER_SLOTS, PIVOT_SOURCES
 from firmroll.operators.lookups import Lookup, describe
 from firmroll.operators.numbering import number_rows
+from firmroll.operators.skew import hot_keys
 
 KEY = "cnpj_basico"
 RANK = "rn"
@@ -51,13 +52,11 @@ def top_partners(
         KEY, RANK, *[F.col(source).alias(name) for name, source in PIVOT_SOURCES.items()]
     )
     described = []
-    if roles is not None:
-        for code in ("qualificacao_socio", "qualificacao_representante"):
-            long = describe(long, _unique(roles), code, f"desc_{code}")
+    for code, lookup in (("qualificacao_socio", roles), ("qualificacao_representante", roles), ("faixa_etaria", ages)):
+        if lookup is not None:
+            hot = () if lookup.small else hot_keys(partners, PIVOT_SOURCES[code])
+            long = describe(long, _unique(lookup), code, f"desc_{code}", hot)
             described.append(f"desc_{code}")
-    if ages is not None:
-        long = describe(long, _unique(ages), "faixa_etaria", "desc_faixa_etaria")
-        described.append("desc_faixa_etaria")
 
     pivot = long.groupBy(KEY).agg(
         *[

@@ -25,13 +25,23 @@ from firmroll.functions import derive
 from firmroll.operators.lookups import Lookup, describe, measure_lookups
 from firmroll.operators.numbering import number_sorted
 from firmroll.operators.partners import top_partners
-from firmroll.operators.skew import left_join_all
+from firmroll.operators.skew import hot_keys, left_join_all
 from firmroll.sources.schemas import TARGET_SCHEMA
 
 KEY = "cnpj_basico"
 ROW_NUMBER = "linha_unica"
 LAYOUT = ["uf", "cnpj_basico", "cnpj_ordem", "cnpj_dv"]
 
+# Code column -> its dictionary and the column for the description.
+ESTABLISHMENT_CODES = {
+    "cnae_fiscal_principal": ("dict_cnae", "desc_cnae_principal"),
+    "municipio": ("dict_municipios", "desc_municipio"),
+}
+COMPANY_CODES = {
+    "natureza_juridica": ("dict_naturezas", "desc_natureza_juridica"),
+    "qualificacao_responsavel": ("dict_qualificacoes", "desc_qualificacao_responsavel"),
+}
+
 
 @dataclass(frozen=True)
 class Feeds:
@@ -69,41 +79,56 @@ def override_side(size_override: DataFrame) -> DataFrame:
     return size_override.select(F.trim(KEY).alias(KEY), F.col("porte_empresa").alias("porte_opt"))
 
 
-def partner_side(partners: DataFrame, roles: Lookup, ages: Lookup) -> tuple[DataFrame, bool]:
-    """The partner pivot, and whether it already holds the descriptions."""
+def partner_side(partners: DataFrame, roles: Lookup, ages: Lookup) -> DataFrame:
+    """The partner pivot with its descriptions, on the long form where that means the same."""
     if roles.unique and ages.unique:
-        return top_partners(partners, roles, ages, blank=False), True
-    return top_partners(partners, blank=False), False
+        return top_partners(partners, roles, ages, blank=False)
+    return describe_slots(top_partners(partners, blank=False), partners, roles, ages)
 
 
-def describe_slots(df: DataFrame, roles: Lookup, ages: Lookup) -> DataFrame:
-    """Look partner codes up on the wide row. Repeated codes multiply rows, slot by slot."""
-    for slot in PARTNER_SLOTS:
-        for code, lookup in (
-            ("qualificacao_socio", roles), ("qualificacao_representante", roles), ("faixa_etaria", ages),
-        ):
-            df = describe(df, lookup, f"{code}_{slot}", f"desc_{code}_{slot}")
-    return df
+def describe_slots(pivot: DataFrame, partners: DataFrame, roles: Lookup, ages: Lookup) -> DataFrame:
+    """Look partner codes up slot by slot. Repeated codes multiply rows, each slot for itself."""
+    for code, lookup in (
+        ("qualificacao_socio", roles), ("qualificacao_representante", roles), ("faixa_etaria", ages),
+    ):
+        hot = () if lookup.small else [*hot_keys(partners, PIVOT_SOURCES[code]), None]
+        for slot in PARTNER_SLOTS:
+            pivot = describe(pivot, lookup, f"{code}_{slot}", f"desc_{code}_{slot}", hot)
+    return pivot
+
+
+def _describe_all(
+    df: DataFrame, lookups: Mapping[str, Lookup], codes: Mapping[str, tuple[str, str]], small: bool
+) -> DataFrame:
+    """Describe the codes whose dictionaries are small, or those whose dictionaries are not."""
+    out = df
+    for code, (name, description) in codes.items():
+        if lookups[name].small == small:
+            out = describe(out, lookups[name], code, description, () if small else hot_keys(df, code))
+    return out
 
 
 def joined(feeds: Feeds, lookups: Mapping[str, Lookup], hot: Sequence[str | None] | None = None) -> DataFrame:
-    """All joins: four on the company key sharing one shuffle, then the dictionaries."""
-    roles, ages = lookups["dict_qualificacao_socio"], lookups["dict_faixa_etaria"]
-    pivot, described = partner_side(feeds.partners, roles, ages)
+    """All joins: four on the company key sharing one shuffle, then the small dictionaries by broadcast.
+
+    A dictionary too large to broadcast is joined before that, on the feed that holds its code, where the codes that
+    many rows share show in a plain scan.
+    """
+    establishments = active_establishments(feeds.establishments)
+    if hot is None:
+        hot = hot_keys(establishments, KEY)
     rows = left_join_all(
-        active_establishments(feeds.establishments),
-        [company_side(feeds.companies), pivot, feeds.tax_status, override_side(feeds.size_override)],
+        _describe_all(establishments, lookups, ESTABLISHMENT_CODES, small=False),
+        [
+            _describe_all(company_side(feeds.companies), lookups, COMPANY_CODES, small=False),
+            partner_side(feeds.partners, lookups["dict_qualificacao_socio"], lookups["dict_faixa_etaria"]),
+            feeds.tax_status,
+            override_side(feeds.size_override),
+        ],
         KEY,
         hot,
     )
-    if not described:
-        rows = describe_slots(rows, roles, ages)
-    rows = describe(rows, lookups["dict_cnae"], "cnae_fiscal_principal", "desc_cnae_principal")
-    rows = describe(rows, lookups["dict_municipios"], "municipio", "desc_municipio")
-    rows = describe(rows, lookups["dict_naturezas"], "natureza_juridica", "desc_natureza_juridica")
-    return describe(
-        rows, lookups["dict_qualificacoes"], "qualificacao_responsavel", "desc_qualificacao_responsavel"
-    )
+    return _describe_all(rows, lookups, ESTABLISHMENT_CODES | COMPANY_CODES, small=True)
 
 
 def _partner_values(slot: int) -> dict[str, Column]:

@@ -8,7 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmroll.operators.skew import hot_keys, is_hot
 from firmroll.sources.schemas import TARGET_COLUMNS
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -48,15 +47,12 @@ def staging_name(feed: str, period: str, database: str | None = None) -> str:
 def write_staging(df: DataFrame, table: str, key: str = "cnpj_basico", buckets: int = 8, path: str | None = None) -> None:
     """Replace a staging table, bucketed and sorted by ``key`` so that joins on it need no shuffle.
 
-    Rows travel once, straight to the task that writes their bucket. Keys that hold a large share of the rows are
-    spread over extra tasks, which add files to the same bucket instead of making one task write it alone.
+    Rows travel once, hashed as the buckets are, so each task writes one bucket. A bucket that outgrows the advisory
+    partition size, as one with a very large company does, is split over several tasks by adaptive execution, which
+    add files to the same bucket.
     """
-    hot = hot_keys(df, key)
-    own_bucket = F.pmod(F.hash(key), F.lit(buckets))
-    spread = F.lit(buckets) + F.pmod(F.xxhash64(*df.columns), F.lit(buckets)).cast("int")
-    target = F.when(is_hot(F.col(key), hot), spread).otherwise(own_bucket) if hot else own_bucket
-    placed = df.repartitionById(2 * buckets if hot else buckets, target)
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+    placed = df.hint("rebalance", buckets, F.col(key))
     writer = placed.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
     if path:
         writer = writer.option("path", path)

@@ -1,11 +1,10 @@
 """The physical plans that make the jobs scale."""
 
-import contextlib
-import io
 import re
 import uuid
 
 import pytest
+from plan_text import explained, operators
 from pyspark.sql import functions as F
 
 from firmroll.checks.fixtures import AS_OF, lookups, view
@@ -18,19 +17,6 @@ from firmroll.sources.storage import staging_name, write_staging
 SMALL = "/root/testdata/sf0.001"
 
 
-def explained(df, mode="formatted"):
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        df.explain(mode)
-    return out.getvalue()
-
-
-def operators(df):
-    """Names of the physical operators, in the order of the plan tree."""
-    tree = explained(df).split("\n\n")[0]
-    return re.findall(r"([A-Z]\w+(?: \w+)*?) +(?:\S+ +)?\(\d+\)", tree)
-
-
 def count(df, name):
     return sum(operator.startswith(name) for operator in operators(df))
 
