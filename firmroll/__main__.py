@@ -37,7 +37,11 @@ def parser() -> argparse.ArgumentParser:
 
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
-    spark = SparkSession.builder.appName(f"firmroll-{args.command}").getOrCreate()
+    builder = SparkSession.builder.appName(f"firmroll-{args.command}")
+    if args.command == "stage":
+        # Cleaning makes one wide projection; above this size the JVM would only interpret its method.
+        builder = builder.config("spark.sql.codegen.hugeMethodLimit", 8000)
+    spark = builder.getOrCreate()
     if args.command == "stage":
         raw = shard_glob(args.raw_root, args.period, args.feed)
         print(stage_feed(spark, args.feed, raw, args.period, args.database, args.buckets))

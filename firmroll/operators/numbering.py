@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firmroll.operators.skew import hot_keys, is_hot
+from firmroll.operators.skew import hot_keys, only_hot, without_hot
 from firmroll.sources.storage import materialise
 
 POSITION = "_position"
@@ -63,6 +63,5 @@ def number_rows(df: DataFrame, key: str, order: Sequence[str], out: str, hot: Se
     numbered = F.row_number().over(window).cast("long").alias(out)
     if not hot:
         return df.select("*", numbered)
-    hot_row = is_hot(F.col(key), hot)
-    rest = df.where(~hot_row).select("*", numbered)
-    return rest.unionByName(number_sorted(df.where(hot_row), [key], order, out, spread_copies=True))
+    large = number_sorted(only_hot(df, key, hot), [key], order, out, spread_copies=True)
+    return without_hot(df, key, hot).select("*", numbered).unionByName(large)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from firmroll.fixed_values import FEED_COLUMNS, PARTNER_SLOTS, PIVOT_SOURCES
 from firmroll.operators.lookups import Lookup, describe
 from firmroll.operators.numbering import number_rows
-from firmroll.operators.skew import hot_keys
+from firmroll.operators.skew import SALT, hot_keys, only_hot, salted, slices, without_hot
 
 KEY = "cnpj_basico"
 RANK = "rn"
@@ -29,26 +29,41 @@ def partner_rank(partners: DataFrame, hot: Sequence[str] | None = None) -> DataF
     return number_rows(partners, KEY, SENIORITY, RANK, hot)
 
 
-def senior_partners(partners: DataFrame, n: int) -> DataFrame:
+def _first(partners: DataFrame, n: int, *group: str) -> DataFrame:
+    window = Window.partitionBy(*group).orderBy(*_LEADING, *_SHOWN)
+    return partners.withColumn(RANK, F.row_number().over(window)).where(F.col(RANK) <= n)
+
+
+def senior_partners(partners: DataFrame, n: int, hot: Sequence[str | None] | None = None) -> DataFrame:
     """The ``n`` most senior partners per company, with the columns that the pivot shows.
 
-    The rank filter sits right on the window, so each task keeps at most ``n`` rows per company *before* the
-    shuffle; a company with a third of all partners sends ``n`` rows per task.
+    The rank filter sits right on the window, so each task keeps at most ``n`` rows per company *before* the shuffle.
+    A staged table needs no shuffle, but has all rows of a company in one bucket: companies with a large share of all
+    partners, ``hot``, are therefore cut to ``n`` rows in salted slices first. None looks for them.
     """
-    window = Window.partitionBy(KEY).orderBy(*_LEADING, *_SHOWN)
+    hot = hot_keys(partners, KEY) if hot is None else hot
     shown = partners.select(KEY, *PIVOT_SOURCES.values())
-    return shown.withColumn(RANK, F.row_number().over(window)).where(F.col(RANK) <= n)
+    if hot:
+        parts = slices(shown)
+        # Asked for by name: a table bucketed by company would count as grouped by (company, slice) already.
+        in_slices = salted(only_hot(shown, KEY, hot), parts).repartitionById(parts, F.col(SALT))
+        shown = without_hot(shown, KEY, hot).unionByName(_first(in_slices, n, KEY, SALT).drop(SALT, RANK))
+    return _first(shown, n, KEY)
 
 
 def top_partners(
-    partners: DataFrame, roles: Lookup | None = None, ages: Lookup | None = None, blank: bool = True
+    partners: DataFrame,
+    roles: Lookup | None = None,
+    ages: Lookup | None = None,
+    blank: bool = True,
+    hot: Sequence[str | None] | None = None,
 ) -> DataFrame:
     """One row per company, its three most senior partners as columns ``<attribute>_<slot>``.
 
     With dictionaries given, descriptions are looked up on the long form, three joins instead of nine, and pivoted
     along; their codes must be unique. A free slot is blank, or NULL with ``blank=False``; descriptions stay NULL.
     """
-    long = senior_partners(partners, len(PARTNER_SLOTS)).select(
+    long = senior_partners(partners, len(PARTNER_SLOTS), hot).select(
         KEY, RANK, *[F.col(source).alias(name) for name, source in PIVOT_SOURCES.items()]
     )
     described = []

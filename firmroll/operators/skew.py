@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALT = "_salt"
@@ -37,43 +37,53 @@ def hot_keys(df: DataFrame, key: str, share: float | None = None) -> list[str |
     return hot + [None for row in counted if row["missing"] and row["n"] > limit]
 
 
-def is_hot(key: Column, hot: Sequence[str | None]) -> Column:
-    """True for the listed keys and False for all others; never NULL."""
-    listed = [value for value in hot if value is not None]
-    known = F.coalesce(key.isin(listed), F.lit(False)) if listed else F.lit(False)
-    return known | key.isNull() if None in hot else known
+def _known(hot: Sequence[str | None]) -> list[str]:
+    return [value for value in hot if value is not None]
 
 
-def salted(df: DataFrame, key: str, hot: Sequence[str | None], parts: int) -> DataFrame:
-    """Add a slice number: rows of hot keys are spread by content, all other rows stay in slice 0.
+def only_hot(df: DataFrame, key: str, hot: Sequence[str | None]) -> DataFrame:
+    """Rows with a hot key; a plain condition that reaches the scan."""
+    listed = F.col(key).isin(_known(hot))
+    return df.where(listed | F.col(key).isNull() if None in hot else listed)
 
-    The slice depends on the row's values alone, so a task that runs again places every row as before.
-    """
-    by_content = F.pmod(F.xxhash64(*df.columns), F.lit(parts)).cast("int")
-    return df.withColumn(SALT, F.when(is_hot(F.col(key), hot), by_content).otherwise(0))
 
+def without_hot(df: DataFrame, key: str, hot: Sequence[str | None]) -> DataFrame:
+    """All other rows; in sorted files, blocks that hold nothing but one hot key are skipped."""
+    others = ~F.col(key).isin(_known(hot))
+    return df.where(others if None in hot else others | F.col(key).isNull())
+
+
+def salted(df: DataFrame, parts: int) -> DataFrame:
+    """Spread rows over ``parts`` slices by content, so that a task that runs again places every row as before."""
+    return df.withColumn(SALT, F.pmod(F.xxhash64(*df.columns), F.lit(parts)).cast("int"))
 
-def repeated(df: DataFrame, key: str, hot: Sequence[str | None], parts: int) -> DataFrame:
-    """The other side of a salted join: rows of hot keys once per slice, all other rows once."""
-    every_slice = F.array(*[F.lit(i) for i in range(parts)]) if parts <= 8 else F.sequence(F.lit(0), F.lit(parts - 1))
-    return df.withColumn(
-        SALT, F.explode(F.when(is_hot(F.col(key), hot), every_slice).otherwise(F.array(F.lit(0))))
-    )
 
+def repeated(df: DataFrame, parts: int) -> DataFrame:
+    """The other side of a salted join: every row once per slice."""
+    return df.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
-def left_join_all(left: DataFrame, rights: Sequence[DataFrame], key: str, hot: Sequence[str | None] | None = None) -> DataFrame:
+
+def left_join_all(
+    left: DataFrame, rights: Sequence[DataFrame], key: str, hot: Sequence[str | None] | None = None
+) -> DataFrame:
     """Left-join every table of ``rights`` on ``key``; duplicate keys on the right fan out.
 
     All joins share one partitioning, so each side is shuffled at most once, and not at all where it is bucketed by
-    ``key``. ``hot`` lists the keys to salt; None looks for them in ``left``.
+    ``key``. Rows of ``hot`` keys take a way of their own: they are salted and meet those few rows of the right sides
+    that have a hot key, a filter that reaches the scans; all other rows keep their plan. None looks for hot keys in
+    ``left``.
     """
     hot = hot_keys(left, key) if hot is None else hot
     if not hot:
-        for right in rights:
-            left = left.join(right, key, "left")
-        return left
+        return _chain(left, rights, [key])
     parts = slices(left)
-    out = salted(left, key, hot, parts)
+    # A missing key matches nothing, so the right sides need only the known ones.
+    few = [repeated(only_hot(right, key, _known(hot)), parts) for right in rights]
+    spread = _chain(salted(only_hot(left, key, hot), parts), few, [key, SALT]).drop(SALT)
+    return _chain(without_hot(left, key, hot), rights, [key]).unionByName(spread)
+
+
+def _chain(left: DataFrame, rights: Sequence[DataFrame], on: list[str]) -> DataFrame:
     for right in rights:
-        out = out.join(repeated(right, key, hot, parts), [key, SALT], "left")
-    return out.drop(SALT)
+        left = left.join(right, on, "left")
+    return left

@@ -73,6 +73,30 @@ def test_staged_tables_join_without_shuffle(spark, staged):
     assert sum(name == "Exchange" for name in operators(df)) == 1
 
 
+@pytest.mark.usefixtures("no_automatic_broadcast")
+def test_a_hot_company_leaves_the_other_rows_without_shuffle(spark, staged):
+    df = plan.joined(staged, plan.measured(lookups(spark, SMALL)), hot=["00000007"])
+    text = explained(df)
+    tree = text.split("\n\n")[0].split("Union")[1].splitlines()
+    # The two branches of the union start at the same depth; the second one is the salted one.
+    first = tree[1].index("-")
+    second = next(i for i, line in enumerate(tree) if i > 1 and line.find("-") == first)
+    end = next((i for i, line in enumerate(tree) if i > second and 0 <= line.find("-") < first), len(tree))
+    others, hot = tree[1:second], tree[second:end]
+    assert sum("- Exchange" in line for line in others) == 1
+    assert sum("- Exchange" in line for line in hot) >= 5
+    assert sum("SortMergeJoin" in line for line in others) == 4
+    # Each branch tells the scans which keys it wants.
+    assert "EqualTo(cnpj_basico,00000007)" in text
+    assert "Not(EqualTo(cnpj_basico,00000007))" in text
+
+
+def test_a_company_with_many_partners_is_cut_in_slices(spark, staged):
+    assert count(top_partners(staged.partners, hot=[]), "Exchange") == 0
+    names = operators(top_partners(staged.partners, hot=["00000007"]))
+    assert names.count("Exchange") == 2 and names.count("WindowGroupLimit") >= 3
+
+
 @pytest.mark.usefixtures("no_automatic_broadcast")
 def test_whole_target_has_no_python_and_no_cross_join(spark, staged):
     text = explained(plan.conform(plan.joined(staged, plan.measured(lookups(spark, SMALL)), hot=[]), plan.target_values(AS_OF)))

@@ -41,12 +41,10 @@ def test_hot_keys_are_exact(spark, skewed):
     assert hot_keys(skewed.where("v < 0"), "k", 0.5) == []
 
 
-def test_salting_spreads_hot_keys_only(spark, skewed):
+def test_salting_spreads_a_key_over_all_slices(spark, skewed):
     parts = slices(skewed)
-    per_key = salted(skewed, "k", ["hot", None], parts).groupBy("k").agg(F.countDistinct(SALT).alias("n")).collect()
-    spread = {row["k"]: row["n"] for row in per_key}
-    assert spread.pop("hot") == parts and spread.pop(None) == parts
-    assert set(spread.values()) == {1}
+    per_slice = salted(skewed.where("k = 'hot'"), parts).groupBy(SALT).count().collect()
+    assert len(per_slice) == parts and max(row["count"] for row in per_slice) < 1000 / parts * 1.5
 
 
 @pytest.mark.parametrize("hot", [None, [], ["hot", None], ["hot"], ["absent"]])
