@@ -1,7 +1,9 @@
+import datetime as dt
 import uuid
 
 import pytest
 
+from firmroll.__main__ import main, parser
 from firmroll.checks.fixtures import AS_OF, lookups, view
 from firmroll.fixed_values import FEED_COLUMNS, FEED_FILE_PREFIX
 from firmroll.plans import monthly, publish
@@ -130,3 +132,23 @@ def test_month_from_raw_files_to_live_table(spark, database, tmp_path):
     assert found["dropped_rows", "ZZ"] == establishments.where("situacao_cadastral = '02' and uf = 'ZZ'").count()
     assert found["published_total", None] == read_snapshot(spark, live).count() > 0
     assert found["unreadable_capital", None] == view(spark, SMALL, "empresas").where("capital_social = 'n/d'").count()
+
+
+def test_stage_command(spark, database, tmp_path, capsys):
+    (tmp_path / "2026-03").mkdir()
+    (tmp_path / "2026-03" / "Simples.csv").write_bytes(b'"1";"S";"20070701";"00000000";"N";"0";""\n')
+    setting = "spark.sql.codegen.hugeMethodLimit"
+    try:
+        main(["stage", "2026-03", "Simples", "--raw-root", str(tmp_path), "--database", database, "--buckets", "2"])
+    finally:
+        spark.conf.unset(setting)
+    table = capsys.readouterr().out.strip().splitlines()[-1]
+    assert table == f"{database}.simples_202603"
+    assert [tuple(row) for row in spark.table(table).collect()] == [("1", "S", "20070701", "", "N", "", "")]
+
+
+def test_command_line_arguments():
+    args = parser().parse_args(["publish", "202603", "202602", "--table", "d.live", "--as-of", "2026-03-31"])
+    assert (args.period, args.old_period, args.table, args.as_of) == ("202603", "202602", "d.live", dt.date(2026, 3, 31))
+    with pytest.raises(SystemExit):
+        parser().parse_args(["stage", "2026-03", "unknown", "--raw-root", "/x"])
