@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALT = "_salt"
+# A key with fewer rows than this is never worth splitting.
+FEW_ROWS = 10_000
 
 
 def slices(df: DataFrame) -> int:
@@ -15,9 +17,10 @@ def slices(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def hot_keys(df: DataFrame, key: str, share: float | None = None) -> list[str | None]:
+def hot_keys(df: DataFrame, key: str, share: float | None = None, few: int = FEW_ROWS) -> list[str | None]:
     """Exact list of the keys, NULL included, that hold more than ``share`` of all rows, by default a fair task's.
 
+    Keys with no more than ``few`` rows are left out, so that little data keeps its plain plan.
     The list is short by arithmetic: fewer than ``1/share`` keys can pass. Two scans of one column, neither of which
     shuffles the keys: a frequent-items sketch that misses no key above ``share`` gives the candidates, a count of
     the candidates only (all other keys fall into one group) confirms them.
@@ -32,7 +35,7 @@ def hot_keys(df: DataFrame, key: str, share: float | None = None) -> list[str |
         .agg(F.count(F.lit(1)).alias("n"))
         .collect()
     )
-    limit = share * sum(row["n"] for row in counted)
+    limit = max(few, share * sum(row["n"] for row in counted))
     hot = sorted(row["key"] for row in counted if row["key"] is not None and row["n"] > limit)
     return hot + [None for row in counted if row["missing"] and row["n"] > limit]
 

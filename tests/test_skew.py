@@ -34,11 +34,13 @@ def left_join(left, right):
 
 
 def test_hot_keys_are_exact(spark, skewed):
-    assert hot_keys(skewed, "k", 0.3) == ["hot", None]
-    assert hot_keys(skewed, "k", 0.5) == []
-    assert hot_keys(skewed.where("k <> 'hot'"), "k", 0.004) == []
-    assert hot_keys(skewed.where("k is null"), "k", 0.5) == [None]
-    assert hot_keys(skewed.where("v < 0"), "k", 0.5) == []
+    assert hot_keys(skewed, "k", 0.3, 0) == ["hot", None]
+    assert hot_keys(skewed, "k", 0.3, 999) == ["hot", None] and hot_keys(skewed, "k", 0.3, 1000) == []
+    assert hot_keys(skewed, "k") == []
+    assert hot_keys(skewed, "k", 0.5, 0) == []
+    assert hot_keys(skewed.where("k <> 'hot'"), "k", 0.004, 0) == []
+    assert hot_keys(skewed.where("k is null"), "k", 0.5, 0) == [None]
+    assert hot_keys(skewed.where("v < 0"), "k", 0.5, 0) == []
 
 
 def test_salting_spreads_a_key_over_all_slices(spark, skewed):
@@ -55,6 +57,17 @@ def test_left_join_with_and_without_salt(spark, skewed, hot):
     assert counted(left_join_all(skewed, [other], "k", hot).select("k", "v", "w")) == left_join(left, right)
 
 
+def test_left_join_finds_a_key_with_a_third_of_all_rows(spark):
+    left = spark.range(45_000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 5000)) as k", "id as v")
+    right = spark.createDataFrame([("hot", 1), ("k1", 2)], "k string, w int")
+    found = left_join_all(left, [right], "k")
+    assert SALT in explained(found)
+    assert found.groupBy("w").count().orderBy("w").collect() == left_join_all(left, [right], "k", []).groupBy(
+        "w"
+    ).count().orderBy("w").collect()
+    assert found.where("w = 1").count() == 15_000 and found.count() == 45_000
+
+
 def test_chain_of_joins_multiplies_matches(spark, skewed):
     a = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3)], "k string, a int")
     b = spark.createDataFrame([("hot", 1), ("hot", 2), ("k2", 3)], "k string, b int")
@@ -84,7 +97,7 @@ def test_large_lookup_takes_the_balanced_join(spark, skewed):
     small = Lookup(table, False, 100)
     large = Lookup(table, False, lookup_module.BROADCAST_LIMIT_BYTES + 1)
     by_broadcast = describe(skewed, small, "k", "d")
-    by_shuffle = describe(skewed, large, "k", "d")
+    by_shuffle = describe(skewed, large, "k", "d", hot=["hot", None])
     assert counted(by_shuffle.select("k", "v", "d")) == counted(by_broadcast.select("k", "v", "d"))
     assert SALT in explained(by_shuffle) and SALT not in explained(by_broadcast)
 
