@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,16 +13,17 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor can reach, as the cluster names it.
+    """Folder that every executor can reach: the one ``spark.checkpoint.dir`` names, else the current database's.
 
-    Only a session that names none, as in local tests, gets a temporary folder of its own.
+    A database's tables lie on shared storage too, so a session that names no folder still writes nothing to the own
+    disk of a machine. The session is left as it is.
     """
     named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    own = tempfile.mkdtemp(prefix="firmroll-")
-    spark.sparkContext.setCheckpointDir(own)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    if not named:
+        named = spark.catalog.getDatabase(spark.catalog.currentDatabase()).locationUri
+    if not named:
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

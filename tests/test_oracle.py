@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from firmroll.checks import oracle, queries
 from firmroll.checks.fixtures import TABLES
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = queries.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +22,8 @@ def duck(sf_dir):
 
 def test_every_query_has_a_twin():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= entry.queries().keys()
+    assert ORACLE.keys() <= entry.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
