@@ -8,6 +8,16 @@ BLANK = r"[\x20\x09-\x0D]"
 NOT_BLANK = r"[^\x20\x09-\x0D]"
 
 
+def op5_exact_dedup() -> str:
+    return rf"""
+with n as (select doc_id, length(coalesce(text,'')) as chars, row_number() over () as rid,
+  regexp_replace(coalesce(text,''), '{BLANK}', '', 'g') as normal from documents),
+r as (select *, row_number() over same as place, first(doc_id) over same as keep_id,
+  count(*) over (partition by normal) as group_size
+ from n window same as (partition by normal order by chars desc, doc_id nulls last, rid))
+select doc_id, keep_id, group_size, place = 1 as kept, sha256(normal) as text_sha256 from r"""
+
+
 def op9_url_filter() -> str:
     """Rules by length in a CASE, terms by bounded patterns."""
     settings = url_filter.UrlFilter()
@@ -101,6 +111,7 @@ from m"""
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_exact_dedup": op5_exact_dedup(),
         "op9_url_filter": op9_url_filter(),
         "op10_quality_rules": op10_quality_rules(),
     }

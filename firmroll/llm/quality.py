@@ -27,10 +27,10 @@ SYMBOLS = "#*$%&|<>"
 
 # Parameters of the method: ratio -> (least distance of the lower fence, of the upper fence); None: no fence.
 FENCES: dict[str, tuple[int | None, int | None]] = {
-    "word_length": (300, 300),  # hundredths of a character
+    "word_length": (400, 400),  # hundredths of a character
     "symbols": (None, 80),  # per thousand words
     "dup_lines": (None, 400),  # per thousand lines
-    "repeats": (None, 150),  # per thousand words
+    "repeats": (None, 200),  # per thousand words
     "capitals": (None, 200),  # per thousand characters in words
 }
 SPREADS = 3

@@ -9,10 +9,22 @@ from pyspark.sql import functions as F
 
 from firmroll.llm import oracle
 from firmroll.llm.common import table
+from firmroll.llm.exact_dedup import exact_duplicates
 from firmroll.llm.quality import quality_rules
+from firmroll.llm.simhash import near_duplicates
 from firmroll.llm.url_filter import judge_urls
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "judged.*")
 
@@ -23,6 +35,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_simhash": op3_simhash,
+        "op5_exact_dedup": op5_exact_dedup,
         "op9_url_filter": op9_url_filter,
         "op10_quality_rules": op10_quality_rules,
     }
