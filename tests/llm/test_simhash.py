@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from firmroll.llm import simhash
@@ -57,11 +57,13 @@ def test_whole_table_against_brute_force(spark, sf_dir):
     assert sorted(tuple(r) for r in got) == brute(rows)
 
 
+@settings(deadline=None)
 @given(st.text())
 def test_fingerprint(text):
     assert simhash.fingerprint(text) == plain_fingerprint(text)
 
 
+@settings(deadline=None)
 @given(st.integers(0, 2**64 - 1), st.lists(st.integers(0, 63), max_size=2))
 def test_close_fingerprints_share_a_key(a, bits):
     b = a
