@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmroll.llm import oracle
+from firmroll.llm.bpe import round_trip
 from firmroll.llm.common import table
 from firmroll.llm.exact_dedup import exact_duplicates
+from firmroll.llm.packing import pack
 from firmroll.llm.quality import quality_rules
 from firmroll.llm.simhash import near_duplicates
 from firmroll.llm.url_filter import judge_urls
@@ -20,11 +22,19 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "judged.*")
 
@@ -36,7 +46,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_simhash": op3_simhash,
+        "op4_packing": op4_packing,
         "op5_exact_dedup": op5_exact_dedup,
+        "op7_bpe": op7_bpe,
         "op9_url_filter": op9_url_filter,
         "op10_quality_rules": op10_quality_rules,
     }
