@@ -13,10 +13,16 @@ from firmroll.llm.common import table
 from firmroll.llm.exact_dedup import exact_duplicates
 from firmroll.llm.packing import pack
 from firmroll.llm.quality import quality_rules
+from firmroll.llm.secrets import find_secrets
+from firmroll.llm.sharding import shard
 from firmroll.llm.simhash import near_duplicates
 from firmroll.llm.url_filter import judge_urls
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -31,6 +37,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("vslot", "map_version")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -45,9 +55,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secret_scan": op1_secret_scan,
         "op3_simhash": op3_simhash,
         "op4_packing": op4_packing,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_sharding": op6_sharding,
         "op7_bpe": op7_bpe,
         "op9_url_filter": op9_url_filter,
         "op10_quality_rules": op10_quality_rules,

@@ -1,0 +1,103 @@
+import hashlib
+import random
+import re
+import string
+
+from firmroll.llm import secrets
+
+PLAIN = {
+    "assign": (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 12),
+    "access": (re.compile("AKIA[A-Z0-9]+"), 0, 18),
+    "hex": (re.compile("[0-9a-f]+"), 0, 16),
+}
+
+
+def brute(text):
+    """Counts and digest of the base spans, by the definition."""
+    spans = []
+    for order, (kind, (pattern, group, least)) in enumerate(PLAIN.items()):
+        spans += [(m.start(), order, m.end(), kind) for m in pattern.finditer(text or "") if len(m.group(group)) >= least]
+    listed = ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(spans))
+    return (
+        *(sum(s[3] == k for s in spans) for k in PLAIN),
+        hashlib.sha256(listed.encode()).hexdigest(),
+        listed,
+    )
+
+
+def base_part(spans):
+    return ",".join(s for s in spans.split(",") if not s.startswith("random:"))
+
+
+def check(rows, found):
+    assert len(rows) == len(found)
+    expected = sorted((str(d), brute(t)) for d, t in rows)
+    got = sorted(
+        (str(r.doc_id), (r.n_assign, r.n_access, r.n_hex, r.base_sha256, base_part(r.spans))) for r in found
+    )
+    assert got == expected
+
+
+def test_whole_table(spark, sf_dir):
+    from firmroll.llm import registry
+
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    found = registry.queries()["op1_secret_scan"](spark, sf_dir).collect()
+    check(rows, found)
+    assert sum("random:" in r.spans for r in found) <= 2
+
+
+BITS = [
+    "token", "Secret", "PASSWD", "api_key", "apikey", "=", ":", " ", "  ", '"', "'", "abcdefghijkl", "x1/+_.=-", "é", "👍",
+    "AKIA", "ABCDEFGH12345678", "0123456789abcdef", "dead", "\n", "g", "password", "ſecret", "toKen",
+]
+
+
+def test_generated_texts(documents):
+    rng = random.Random(3)
+    rows = [(i, "".join(rng.choice(BITS) for _ in range(rng.randrange(0, 40)))) for i in range(600)]
+    rows += [(1000, None), (1001, ""), (None, "token=abcdefghijklmnop"), (7, "x"), (7, "x")]
+    rows += [(1002, "token = abcdefghijklmnop é " * 3000), (1003, "f" * 200_000), (1004, "token" + " " * 50_000)]
+    check(rows, secrets.find_secrets(documents(rows)).collect())
+
+
+def test_random_strings_are_found_and_words_are_not(documents):
+    rng = random.Random(11)
+    kinds = {
+        "base64": string.ascii_letters + string.digits + "+/",
+        "alnum": string.ascii_letters + string.digits,
+        "lower": string.ascii_lowercase + string.digits,
+        "hex": string.digits + "ABCDEF",
+    }
+    words = "the quick brown internationalization responsibilities of electroencephalograph counterrevolutionary".split()
+    rows, planted = [], {}
+    for i in range(400):
+        text = " ".join(rng.choice(words) for _ in range(60))
+        text += " some-longer-name-with-words /usr/local/share/application/data aaaaaaaaaaaaaaaaaaaaaaaa 123-456-789-123-456-789"
+        text += " abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZABCDEFGH"
+        if i % 4 == 0:
+            key = "".join(rng.choice(kinds[list(kinds)[i // 4 % 4]]) for _ in range(rng.choice([40, 64])))
+            planted[i] = (len(text) + 5, len(text) + 5 + len(key))
+            text += f" é 👍 {key} end"
+        rows.append((i, text))
+    found = {r.doc_id: r.spans for r in secrets.find_secrets(documents(rows)).collect()}
+    hit = [f"random:{a}:{b}" in found[i] for i, (a, b) in planted.items()]
+    assert sum(hit) >= 0.9 * len(hit)
+    assert sum("random" in found[i] for i in found if i not in planted) <= 4
+
+
+def test_masking(spark):
+    rows = [
+        (1, 'a token = "abcdefghijklmnop" é 0123456789abcdef0 z', 5, "x", 1),
+        (2, "clean text", 10, "y", 2),
+        (3, None, None, "y", 2),
+        (4, "api_key=0123456789abcdef0123", 1, "z", 3),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, t string, found int")
+    got = {r.doc_id: r for r in secrets.masked(docs).collect()}
+    assert secrets.masked(docs).columns == docs.columns
+    assert got[1].text == 'a <SECRET>" é <SECRET> z' and got[1].n_chars == len(got[1].text) and got[1].t == "x"
+    assert tuple(got[2]) == rows[1] and tuple(got[3]) == rows[2]
+    assert got[4].text == "<SECRET>"
+    assert secrets.masked(docs.limit(0)).count() == 0
+    assert secrets.find_secrets(docs.limit(0)).count() == 0
