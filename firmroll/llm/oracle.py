@@ -18,6 +18,18 @@ r as (select *, row_number() over same as place, first(doc_id) over same as keep
 select doc_id, keep_id, group_size, place = 1 as kept, sha256(normal) as text_sha256 from r"""
 
 
+def op8_warc() -> str:
+    return """
+with p as (select page_id, row_number() over () as rid, coalesce(html,'') as html, strlen(coalesce(html,'')) as size
+ from pages),
+r as (select *, row_number() over same as place, first(page_id) over same as keep, size >= 1000 as long from p
+ window same as (partition by html order by page_id desc nulls last, rid))
+select page_id, size as payload_bytes, sha1(html) as payload_digest,
+ case when long and place > 1 then 'revisit' else 'response' end as record_type,
+ case when long and place > 1 then keep end as refers_to
+from r"""
+
+
 def op9_url_filter() -> str:
     """Rules by length in a CASE, terms by bounded patterns."""
     settings = url_filter.UrlFilter()
@@ -112,6 +124,7 @@ from m"""
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_exact_dedup": op5_exact_dedup(),
+        "op8_warc": op8_warc(),
         "op9_url_filter": op9_url_filter(),
         "op10_quality_rules": op10_quality_rules(),
     }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from firmroll.llm import oracle
 from firmroll.llm.bpe import round_trip
 from firmroll.llm.common import table
@@ -17,6 +18,8 @@ from firmroll.llm.secrets import find_secrets
 from firmroll.llm.sharding import shard
 from firmroll.llm.simhash import near_duplicates
 from firmroll.llm.url_filter import judge_urls
+from firmroll.llm.warc import read_warc, write_warc
+from firmroll.sources.storage import scratch_path
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +48,12 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), root)
+    return read_warc(spark, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "judged.*")
 
@@ -55,16 +64,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_secret_scan": op1_secret_scan,
         "op3_simhash": op3_simhash,
         "op4_packing": op4_packing,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_sharding": op6_sharding,
         "op7_bpe": op7_bpe,
+        "op8_warc": op8_warc,
         "op9_url_filter": op9_url_filter,
         "op10_quality_rules": op10_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return oracle.oracle_sql() | pipeline
