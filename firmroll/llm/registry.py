@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from firmroll.llm import oracle
 from firmroll.llm.bpe import round_trip
+from firmroll.llm.chat import format_chats
 from firmroll.llm.common import table
 from firmroll.llm.exact_dedup import exact_duplicates
 from firmroll.llm.packing import pack
@@ -26,6 +27,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -66,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "pipeline": corpus_pipeline.run,
         "op1_secret_scan": op1_secret_scan,
+        "op2_chat": op2_chat,
         "op3_simhash": op3_simhash,
         "op4_packing": op4_packing,
         "op5_exact_dedup": op5_exact_dedup,
