@@ -49,7 +49,7 @@ select lpad(cast(case when o_orderpriority='1-URGENT' then o_orderkey else o_cus
  'RUA' as tipo_logradouro, o_orderpriority as logradouro, cast(o_orderkey%1000 as string) as numero,
  case when o_orderkey%6=0 then 'SALA ' || cast(o_orderkey%40 as string) else '' end as complemento,
  'CENTRO' as bairro, lpad(cast(o_orderkey as string),8,'0') as cep,
- trim(substr('ACALAMAPBACEDFESGOMAMGMSMTPAPBPEPIPRRJRNRORRRSSCSESPTOEX  ZZ',1+2*cast(o_orderkey%30 as int),2)) as uf,
+ split_part('AC,AL,AM,AP,BA,CE,DF,ES,GO,MA,MG,MS,MT,PA,PB,PE,PI,PR,RJ,RN,RO,RR,RS,SC,SE,SP,TO,EX,,ZZ',',',1+cast(o_orderkey%30 as int)) as uf,
  lpad(cast(o_custkey%30 as string),4,'0') as municipio,
  '11' as ddd_1, lpad(cast(o_orderkey as string),8,'0') as telefone_1, '' as ddd_2, '' as telefone_2, '' as ddd_fax, '' as fax,
  'loja' || cast(o_orderkey as string) || '@example.com' as correio_eletronico,
@@ -96,6 +96,20 @@ select lpad(cast(n_nationkey as string),2,'0') as codigo_qualificacao_socio, 'R
 select lpad(cast(n_nationkey as string),2,'0') as codigo_qualificacao_socio, 'Q ' || n_name as descricao_qualificacao_socio from {nation}""",
     "dict_faixa_etaria": """
 select cast(r_regionkey as string) as codigo, r_name as descricao from {region}""",
+    # A third of these rows has no key.
+    "estabelecimentos_sem_chave": """
+select case when o_orderkey%3=0 then cast(null as string) else lpad(cast(o_custkey as string),8,'0') end as cnpj_basico,
+ 'LOJA ' || cast(o_orderkey as string) as nome_fantasia
+from {orders}""",
+    # Every third code has two descriptions, and a blank code has one.
+    "dict_qualificacao_socio_repetida": """
+select codigo_qualificacao_socio, descricao_qualificacao_socio from {dict_qualificacao_socio}
+union all select codigo_qualificacao_socio, 'X ' || descricao_qualificacao_socio from {dict_qualificacao_socio}
+ where cast(codigo_qualificacao_socio as int)%3=0""",
+    # Companies as a file with quoted fields has them: separators inside fields, and a quote or two.
+    "raw_empresas_com_separador": """
+select cnpj_basico, razao_social || '; ' || case when cnpj_basico like '%7' then chr(34) || 'X' || chr(34) else 'Y' end as razao_social,
+ natureza_juridica, qualificacao_responsavel, capital_social, porte_empresa, ente_federativo_responsavel from {empresas}""",
     # Listings to choose a period from: one path, or one line of a page, per order.
     "listagem": """
 select '/files/' || case when o_orderkey%9=0 then 'temp' when o_orderkey%9=1 then substr(cast(cast(o_orderdate as date) as string),1,4) || '-13' else substr(cast(cast(o_orderdate as date) as string),1,7) end || case when o_orderkey%2=0 then '/' else '' end as caminho

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +34,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Expressions are built only when a query runs: building one needs a running session.
 Columns = Callable[[], dict[str, Column]]
 KEY = "cnpj_basico"
+# Companies that the queries of the salted ways split, whatever their size; the last one has no rows.
+LISTED_KEYS = ["00000001", "00000007", "00000034", "99999999"]
 
 
 def named(columns: Columns) -> list[Column]:
@@ -70,34 +72,47 @@ def company_with_tax(columns: Columns) -> Query:
     return run
 
 
-def joined_to(side: Callable[[SparkSession, str], DataFrame], *columns: str) -> Query:
+def joined_to(
+    side: Callable[[SparkSession, str], DataFrame], *columns: str, hot: Sequence[str] | None = None
+) -> Query:
     """Active establishments left-joined to one company-keyed table."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = active_establishments(view(spark, sf_dir, "estabelecimentos"))
-        return left_join_all(rows, [side(spark, sf_dir)], KEY).select("nome_fantasia", *columns)
+        return left_join_all(rows, [side(spark, sf_dir)], KEY, hot).select("nome_fantasia", *columns)
 
     return run
 
 
-def measured(spark: SparkSession, sf_dir: str, name: str) -> Lookup:
-    return measure_lookups({name: (view(spark, sf_dir, name), *LOOKUP_COLUMNS[name])})[name]
+def measured(spark: SparkSession, sf_dir: str, name: str, source: str | None = None, limit: int | None = None) -> Lookup:
+    """A dictionary, read from view ``source`` if that has another name."""
+    return measure_lookups({name: (view(spark, sf_dir, source or name), *LOOKUP_COLUMNS[name])}, limit)[name]
 
 
-def described(source: str, key: str, code: str, dictionary: str, out: str) -> Query:
+def described(source: str, key: str, code: str, dictionary: str, out: str, limit: int | None = None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = view(spark, sf_dir, source)
         rows = active_establishments(rows) if source == "estabelecimentos" else rows
-        found = describe(rows.select(key, code), measured(spark, sf_dir, dictionary), code, out)
+        found = describe(rows.select(key, code), measured(spark, sf_dir, dictionary, limit=limit), code, out)
         return found.select(key, F.col(code).alias("codigo"), out)
 
     return run
 
 
-def lookup_partner_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pivot = top_partners(view(spark, sf_dir, "socios"), roles=measured(spark, sf_dir, "dict_qualificacao_socio"))
-    names = ("desc_qualificacao_socio", "desc_qualificacao_representante")
-    return pivot.select(KEY, *[f"{name}_{slot}" for slot in (1, 2, 3) for name in names])
+def partner_roles(source: str | None = None, limit: int | None = None) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        roles = measured(spark, sf_dir, "dict_qualificacao_socio", source, limit)
+        pivot = top_partners(view(spark, sf_dir, "socios"), roles=roles)
+        names = ("desc_qualificacao_socio", "desc_qualificacao_representante")
+        return pivot.select(KEY, *[f"{name}_{slot}" for slot in (1, 2, 3) for name in names])
+
+    return run
+
+
+def join_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key that a third of all rows share is the missing one; it is found, not given."""
+    rows, companies = views(spark, sf_dir, "estabelecimentos_sem_chave", "empresas")
+    return left_join_all(rows, [company_side(companies)], KEY).select("nome_fantasia", KEY, "razao_social")
 
 
 def lookup_age_group(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,7 +291,19 @@ def queries() -> dict[str, Query]:
         "lookup_officer_role": described(
             "empresas", KEY, "qualificacao_responsavel", "dict_qualificacoes", "desc_qualificacao_responsavel"
         ),
-        "lookup_partner_roles": lookup_partner_roles,
+        "lookup_partner_roles": partner_roles(),
+        "lookup_partner_roles_repeated": partner_roles("dict_qualificacao_socio_repetida", limit=0),
+        "lookup_activity_large": described(
+            "estabelecimentos", "nome_fantasia", "cnae_fiscal_principal", "dict_cnae", "desc_cnae_principal", limit=0
+        ),
+        "join_company_salted": joined_to(
+            lambda spark, sf_dir: company_side(view(spark, sf_dir, "empresas")),
+            KEY, "razao_social", "natureza_juridica", "qualificacao_responsavel", "capital_social", "porte",
+            "ente_federativo_responsavel", hot=LISTED_KEYS,
+        ),
+        "join_null_key": join_null_key,
+        "partner_rank_split": lambda spark, sf_dir: partner_rank(view(spark, sf_dir, "socios"), LISTED_KEYS),
+        "top_partners_sliced": lambda spark, sf_dir: top_partners(view(spark, sf_dir, "socios"), hot=LISTED_KEYS),
         "lookup_age_group": lookup_age_group,
         "row_number_by_uf": row_number_by_uf,
         "count_by_uf": count_by_uf,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firmroll.operators.skew import hot_keys, only_hot, without_hot
+from firmroll.operators.skew import Hot, hot_keys, only_hot, without_hot
 from firmroll.sources.storage import materialise
 
 POSITION = "_position"
@@ -53,7 +53,7 @@ def number_sorted(
     )
 
 
-def number_rows(df: DataFrame, key: str, order: Sequence[str], out: str, hot: Sequence[str | None] | None = None) -> DataFrame:
+def number_rows(df: DataFrame, key: str, order: Sequence[str], out: str, hot: Hot | None = None) -> DataFrame:
     """``row_number`` per ``key`` for many keys: a window for most, :func:`number_sorted` for the hot ones.
 
     ``df`` should be a plain scan, such as a staging table.

@@ -2,87 +2,107 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
+from itertools import chain
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALT = "_salt"
-# A key with fewer rows than this is never worth splitting.
-FEW_ROWS = 10_000
+
+# Hot keys with the number of slices each is cut into, or just the keys.
+Hot = Mapping[str | None, int] | Sequence[str | None]
 
 
 def slices(df: DataFrame) -> int:
-    """Number of slices a hot key is cut into: as many as a shuffle has partitions."""
+    """The most slices a hot key is cut into: as many as a shuffle has partitions."""
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def hot_keys(df: DataFrame, key: str, share: float | None = None, few: int = FEW_ROWS) -> list[str | None]:
-    """Exact list of the keys, NULL included, that hold more than ``share`` of all rows, by default a fair task's.
+def hot_keys(df: DataFrame, key: str, share: float | None = None) -> dict[str | None, int]:
+    """Keys, NULL included, that hold more than ``share`` of all rows, by default a fair task's; key -> slices.
 
-    Keys with no more than ``few`` rows are left out, so that little data keeps its plain plan.
-    The list is short by arithmetic: fewer than ``1/share`` keys can pass. Two scans of one column, neither of which
-    shuffles the keys: a frequent-items sketch that misses no key above ``share`` gives the candidates, a count of
-    the candidates only (all other keys fall into one group) confirms them.
+    Exact, from one column: rows are counted per key with map-side combining, spread over all tasks, and only the keys
+    above the limit come to the driver, fewer than ``1/share`` of them. A key gets as many slices as it has fair shares.
     """
-    share = max(1e-4, 1.0 / slices(df)) if share is None else share
+    most = slices(df)
     keys = df.select(F.col(key).alias("key"))
-    sketch = keys.where(F.col("key").isNotNull()).stat.freqItems(["key"], share).first()
-    candidates = list(sketch[0]) if sketch and sketch[0] else []
-    known = F.when(F.col("key").isin(candidates), F.col("key")) if candidates else F.lit(None).cast("string")
-    counted = (
-        keys.groupBy(known.alias("key"), F.col("key").isNull().alias("missing"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .collect()
-    )
-    limit = max(few, share * sum(row["n"] for row in counted))
-    hot = sorted(row["key"] for row in counted if row["key"] is not None and row["n"] > limit)
-    return hot + [None for row in counted if row["missing"] and row["n"] > limit]
-
-
-def _known(hot: Sequence[str | None]) -> list[str]:
+    total = keys.count()
+    limit = total * (1 / most if share is None else share)
+    counted = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).collect()
+    return {row["key"]: min(most, max(2, math.ceil(row["n"] * most / total))) for row in counted}
+
+
+def _slices_by_key(df: DataFrame, hot: Hot) -> dict[str | None, int]:
+    return dict(hot) if isinstance(hot, Mapping) else dict.fromkeys(hot, slices(df))
+
+
+def _known(hot: Hot) -> list[str]:
     return [value for value in hot if value is not None]
 
 
-def only_hot(df: DataFrame, key: str, hot: Sequence[str | None]) -> DataFrame:
+def only_hot(df: DataFrame, key: str, hot: Hot) -> DataFrame:
     """Rows with a hot key; a plain condition that reaches the scan."""
-    listed = F.col(key).isin(_known(hot))
+    known = _known(hot)
+    listed = F.col(key).isin(known) if known else F.lit(False)
     return df.where(listed | F.col(key).isNull() if None in hot else listed)
 
 
-def without_hot(df: DataFrame, key: str, hot: Sequence[str | None]) -> DataFrame:
-    """All other rows; in sorted files, blocks that hold nothing but one hot key are skipped."""
-    others = ~F.col(key).isin(_known(hot))
+def without_hot(df: DataFrame, key: str, hot: Hot) -> DataFrame:
+    """All other rows; in sorted files, blocks that hold nothing but one hot key are skipped.
+
+    The condition on known keys is NULL for a missing key; that row is kept or left out by a condition of its own.
+    """
+    known = _known(hot)
+    others = ~F.col(key).isin(known) if known else F.col(key).isNotNull()
     return df.where(others if None in hot else others | F.col(key).isNull())
 
 
-def salted(df: DataFrame, parts: int) -> DataFrame:
-    """Spread rows over ``parts`` slices by content, so that a task that runs again places every row as before."""
-    return df.withColumn(SALT, F.pmod(F.xxhash64(*df.columns), F.lit(parts)).cast("int"))
+def parts_of(key: str, hot: Mapping[str | None, int]) -> Column:
+    """Number of slices of a row's key, 1 if it is not hot."""
+    known = {value: parts for value, parts in hot.items() if value is not None}
+    parts = F.lit(1)
+    if known:
+        table = F.create_map(*[F.lit(x) for x in chain.from_iterable(known.items())])
+        parts = F.coalesce(table[F.col(key)], F.lit(1))
+    return F.when(F.col(key).isNull(), F.lit(hot.get(None, 1))).otherwise(parts)
+
+
+def salted(df: DataFrame, key: str, hot: Hot) -> DataFrame:
+    """Give every row a slice of its key, by content, so that a task that runs again places every row as before."""
+    parts = parts_of(key, _slices_by_key(df, hot))
+    return df.withColumn(SALT, F.pmod(F.xxhash64(*df.columns), parts).cast("int"))
+
+
+def repeated(df: DataFrame, key: str, hot: Mapping[str | None, int]) -> DataFrame:
+    """The other side of a salted join: rows of a hot key once per slice of it, all others once."""
+    return df.withColumn(SALT, F.explode(F.sequence(F.lit(0), parts_of(key, hot) - 1)))
 
 
-def repeated(df: DataFrame, parts: int) -> DataFrame:
-    """The other side of a salted join: every row once per slice."""
-    return df.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+def salted_left_join(left: DataFrame, right: DataFrame, key: str, hot: Hot) -> DataFrame:
+    """One left join in which hot keys are spread. Both sides are read once, whatever the number of hot keys."""
+    parts = _slices_by_key(left, hot)
+    if not parts:
+        return left.join(right, key, "left")
+    return salted(left, key, parts).join(repeated(right, key, parts), [key, SALT], "left").drop(SALT)
 
 
-def left_join_all(
-    left: DataFrame, rights: Sequence[DataFrame], key: str, hot: Sequence[str | None] | None = None
-) -> DataFrame:
+def left_join_all(left: DataFrame, rights: Sequence[DataFrame], key: str, hot: Hot | None = None) -> DataFrame:
     """Left-join every table of ``rights`` on ``key``; duplicate keys on the right fan out.
 
     All joins share one partitioning, so each side is shuffled at most once, and not at all where it is bucketed by
     ``key``. Rows of ``hot`` keys take a way of their own: they are salted and meet those few rows of the right sides
     that have a hot key, a filter that reaches the scans; all other rows keep their plan. None looks for hot keys in
-    ``left``.
+    ``left``. The branch reads ``left`` a second time, so give it a plain scan.
     """
     hot = hot_keys(left, key) if hot is None else hot
     if not hot:
         return _chain(left, rights, [key])
-    parts = slices(left)
+    parts = _slices_by_key(left, hot)
     # A missing key matches nothing, so the right sides need only the known ones.
-    few = [repeated(only_hot(right, key, _known(hot)), parts) for right in rights]
-    spread = _chain(salted(only_hot(left, key, hot), parts), few, [key, SALT]).drop(SALT)
+    few = [repeated(only_hot(right, key, _known(hot)), key, parts) for right in rights]
+    spread = _chain(salted(only_hot(left, key, hot), key, parts), few, [key, SALT]).drop(SALT)
     return _chain(without_hot(left, key, hot), rights, [key]).unionByName(spread)
 
 

@@ -7,7 +7,7 @@ therefore joined bare, which keeps bucketed tables shuffle-free.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +25,7 @@ from firmroll.functions import derive
 from firmroll.operators.lookups import Lookup, describe, measure_lookups
 from firmroll.operators.numbering import number_sorted
 from firmroll.operators.partners import top_partners
-from firmroll.operators.skew import hot_keys, left_join_all
+from firmroll.operators.skew import Hot, hot_keys, left_join_all
 from firmroll.sources.schemas import TARGET_SCHEMA
 
 KEY = "cnpj_basico"
@@ -80,21 +80,8 @@ def override_side(size_override: DataFrame) -> DataFrame:
 
 
 def partner_side(partners: DataFrame, roles: Lookup, ages: Lookup) -> DataFrame:
-    """The partner pivot with its descriptions, on the long form where that means the same."""
-    if roles.unique and ages.unique:
-        return top_partners(partners, roles, ages, blank=False)
-    return describe_slots(top_partners(partners, blank=False), partners, roles, ages)
-
-
-def describe_slots(pivot: DataFrame, partners: DataFrame, roles: Lookup, ages: Lookup) -> DataFrame:
-    """Look partner codes up slot by slot. Repeated codes multiply rows, each slot for itself."""
-    for code, lookup in (
-        ("qualificacao_socio", roles), ("qualificacao_representante", roles), ("faixa_etaria", ages),
-    ):
-        hot = () if lookup.small else [*hot_keys(partners, PIVOT_SOURCES[code]), None]
-        for slot in PARTNER_SLOTS:
-            pivot = describe(pivot, lookup, f"{code}_{slot}", f"desc_{code}_{slot}", hot)
-    return pivot
+    """The partner pivot with its descriptions."""
+    return top_partners(partners, roles, ages, blank=False)
 
 
 def _describe_all(
@@ -108,7 +95,7 @@ def _describe_all(
     return out
 
 
-def joined(feeds: Feeds, lookups: Mapping[str, Lookup], hot: Sequence[str | None] | None = None) -> DataFrame:
+def joined(feeds: Feeds, lookups: Mapping[str, Lookup], hot: Hot | None = None) -> DataFrame:
     """All joins: four on the company key sharing one shuffle, then the small dictionaries by broadcast.
 
     A dictionary too large to broadcast is joined before that, on the feed that holds its code, where the codes that
@@ -194,7 +181,7 @@ def conform(df: DataFrame, values: Mapping[str, Column] | None = None) -> DataFr
 
 
 def enriched_rows(
-    feeds: Feeds, lookups: Mapping[str, DataFrame], as_of: dt.date, hot: Sequence[str | None] | None = None
+    feeds: Feeds, lookups: Mapping[str, DataFrame], as_of: dt.date, hot: Hot | None = None
 ) -> DataFrame:
     """The target without its row number. ``as_of`` is the day that ages are counted to."""
     return conform(joined(feeds, measured(lookups), hot), target_values(as_of))
@@ -206,7 +193,7 @@ def number_by_uf(rows: DataFrame) -> DataFrame:
 
 
 def enrich(
-    feeds: Feeds, lookups: Mapping[str, DataFrame], as_of: dt.date, hot: Sequence[str | None] | None = None
+    feeds: Feeds, lookups: Mapping[str, DataFrame], as_of: dt.date, hot: Hot | None = None
 ) -> DataFrame:
     """The whole target, 96 columns."""
     return conform(number_by_uf(enriched_rows(feeds, lookups, as_of, hot)))

@@ -61,7 +61,12 @@ def test_large_dictionaries_give_the_same_rows(inputs, expected, monkeypatch):
     assert counted(plan.enriched_rows(*inputs, AS_OF)) == expected
 
 
-def test_repeated_dictionary_codes_multiply_rows_slot_by_slot(spark):
+@pytest.mark.parametrize("limit", [None, 0])
+def test_repeated_dictionary_codes_multiply_rows_slot_by_slot(spark, monkeypatch, limit):
+    """Also for a dictionary that is too large to broadcast, with and without hot codes."""
+    if limit is not None:
+        monkeypatch.setattr(lookup_module, "BROADCAST_LIMIT_BYTES", limit)
+
     def feed(name, **values):
         row = dict.fromkeys(FEED_COLUMNS[name], "") | {"cnpj_basico": "1"} | values
         return tuple(row[column] for column in FEED_COLUMNS[name])

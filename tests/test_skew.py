@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from firmroll.operators import lookups as lookup_module
 from firmroll.operators.lookups import Lookup, describe, measure_lookups
 from firmroll.operators.numbering import number_rows, number_sorted
-from firmroll.operators.skew import SALT, hot_keys, left_join_all, salted, slices
+from firmroll.operators.skew import SALT, hot_keys, left_join_all, only_hot, salted, slices, without_hot
 
 
 @pytest.fixture(scope="module")
@@ -34,22 +34,39 @@ def left_join(left, right):
 
 
 def test_hot_keys_are_exact(spark, skewed):
-    assert hot_keys(skewed, "k", 0.3, 0) == ["hot", None]
-    assert hot_keys(skewed, "k", 0.3, 999) == ["hot", None] and hot_keys(skewed, "k", 0.3, 1000) == []
-    assert hot_keys(skewed, "k") == []
-    assert hot_keys(skewed, "k", 0.5, 0) == []
-    assert hot_keys(skewed.where("k <> 'hot'"), "k", 0.004, 0) == []
-    assert hot_keys(skewed.where("k is null"), "k", 0.5, 0) == [None]
-    assert hot_keys(skewed.where("v < 0"), "k", 0.5, 0) == []
+    fair = -(-slices(skewed) // 3)
+    assert hot_keys(skewed, "k", 0.3) == {"hot": fair, None: fair}
+    assert hot_keys(skewed, "k") == {"hot": fair, None: fair}
+    assert hot_keys(skewed, "k", 0.5) == {}
+    assert hot_keys(skewed.where("k <> 'hot'"), "k", 0.004) == {}
+    assert hot_keys(skewed.where("k is null"), "k", 0.5) == {None: slices(skewed)}
+    assert hot_keys(skewed.where("v < 0"), "k", 0.5) == {}
+
+
+def test_hot_keys_are_counted_by_all_tasks(spark, monkeypatch):
+    """The counting plan has no step in which a single task sees more than what is above the limit."""
+    plans = []
+    kind = type(spark.range(1))
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: plans.append(explained(df)) or collect(df))
+    hot_keys(spark.range(1000).selectExpr("cast(id % 7 as string) as k"), "k", 0.5)
+    assert plans and all("SinglePartition" not in text and "partial_count" in text for text in plans)
 
 
 def test_salting_spreads_a_key_over_all_slices(spark, skewed):
     parts = slices(skewed)
-    per_slice = salted(skewed.where("k = 'hot'"), parts).groupBy(SALT).count().collect()
+    per_slice = salted(skewed.where("k = 'hot'"), "k", ["hot"]).groupBy(SALT).count().collect()
     assert len(per_slice) == parts and max(row["count"] for row in per_slice) < 1000 / parts * 1.5
 
 
-@pytest.mark.parametrize("hot", [None, [], ["hot", None], ["hot"], ["absent"]])
+def test_split_by_keys_loses_and_repeats_no_row(skewed):
+    for hot in ([], [None], ["hot"], ["hot", None], ["absent"], ["absent", None]):
+        both = only_hot(skewed, "k", hot).unionByName(without_hot(skewed, "k", hot))
+        assert counted(both) == counted(skewed)
+        assert only_hot(skewed, "k", hot).count() == 1000 * sum(k in (None, "hot") for k in hot)
+
+
+@pytest.mark.parametrize("hot", [None, [], [None], ["hot", None], ["hot"], ["absent"], {"hot": 3, None: 2}])
 def test_left_join_with_and_without_salt(spark, skewed, hot):
     right = [("hot", 1), ("hot", 2), ("k1", 3), ("k2", 4), ("k2", 5), ("other", 6), (None, 7)]
     other = spark.createDataFrame(right, "k string, w int")
@@ -98,6 +115,10 @@ def test_large_lookup_takes_the_balanced_join(spark, skewed):
     large = Lookup(table, False, lookup_module.BROADCAST_LIMIT_BYTES + 1)
     by_broadcast = describe(skewed, small, "k", "d")
     by_shuffle = describe(skewed, large, "k", "d", hot=["hot", None])
+    for hot in (None, [], [None], {"hot": 4}):
+        assert counted(describe(skewed, large, "k", "d", hot).select("k", "v", "d")) == counted(
+            by_broadcast.select("k", "v", "d")
+        )
     assert counted(by_shuffle.select("k", "v", "d")) == counted(by_broadcast.select("k", "v", "d"))
     assert SALT in explained(by_shuffle) and SALT not in explained(by_broadcast)
 
@@ -140,7 +161,7 @@ def test_copies_of_one_row_spread_and_get_all_numbers(spark):
 
 
 @pytest.mark.usefixtures("tiny_partitions")
-@pytest.mark.parametrize("hot", [None, [], ["hot"], ["hot", None]])
+@pytest.mark.parametrize("hot", [None, [], [None], ["hot"], ["hot", None]])
 def test_number_rows(spark, skewed, hot):
     rows = [tuple(row) for row in skewed.collect()]
     assert counted(number_rows(skewed, "k", ["v"], "n", hot).select("k", "v", "n")) == brute_numbers(rows)
