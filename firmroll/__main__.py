@@ -6,9 +6,10 @@ import argparse
 import datetime as dt
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from firmroll.fixed_values import FEED_COLUMNS
-from firmroll.plans.ingest import stage_feed
+from firmroll.plans.ingest import bucket_count, stage_feed
 from firmroll.plans.monthly import lookup_tables, publish_month
 from firmroll.sources.feeds import shard_glob
 
@@ -21,7 +22,7 @@ def parser() -> argparse.ArgumentParser:
     stage.add_argument("period", help="YYYY-MM")
     stage.add_argument("feed", choices=sorted(FEED_COLUMNS), type=str.lower)
     stage.add_argument("--raw-root", required=True, help="folder with one subfolder per period")
-    stage.add_argument("--buckets", type=int, default=8)
+    stage.add_argument("--buckets", type=int, help="alike for all feeds of a month; by the largest feed's size if not given")
 
     publish = commands.add_parser("publish", help="staging tables to the live table")
     publish.add_argument("period", help="YYYY-MM or YYYYMM")
@@ -44,7 +45,8 @@ def main(arguments: list[str] | None = None) -> None:
     spark = builder.getOrCreate()
     if args.command == "stage":
         raw = shard_glob(args.raw_root, args.period, args.feed)
-        print(stage_feed(spark, args.feed, raw, args.period, args.database, args.buckets))
+        buckets = args.buckets or bucket_count(spark, args.raw_root, args.period)
+        print(stage_feed(spark, args.feed, raw, args.period, buckets, args.database))
         return
     counts = publish_month(
         spark,
@@ -56,7 +58,10 @@ def main(arguments: list[str] | None = None) -> None:
         args.database,
         args.path,
     )
-    counts.orderBy("metric", "item").show(200, truncate=False)
+    # One line per kind of count; all of them are in the table.
+    summary = counts.groupBy("metric").agg(F.count("item").alias("items"), F.sum("n").alias("n")).orderBy("metric")
+    for row in summary.collect():
+        print(f"{row['metric']}: {row['n']}" + (f" in {row['items']} items" if row["items"] else ""))
 
 
 if __name__ == "__main__":

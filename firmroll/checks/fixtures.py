@@ -106,9 +106,9 @@ from {orders}""",
 select codigo_qualificacao_socio, descricao_qualificacao_socio from {dict_qualificacao_socio}
 union all select codigo_qualificacao_socio, 'X ' || descricao_qualificacao_socio from {dict_qualificacao_socio}
  where cast(codigo_qualificacao_socio as int)%3=0""",
-    # Companies as a file with quoted fields has them: separators inside fields, and a quote or two.
+    # Companies as a file with quoted fields has them: separators inside fields.
     "raw_empresas_com_separador": """
-select cnpj_basico, razao_social || '; ' || case when cnpj_basico like '%7' then chr(34) || 'X' || chr(34) else 'Y' end as razao_social,
+select cnpj_basico, razao_social || '; ' || case when cnpj_basico like '%7' then 'X;Z' else 'Y' end as razao_social,
  natureza_juridica, qualificacao_responsavel, capital_social, porte_empresa, ente_federativo_responsavel from {empresas}""",
     # Listings to choose a period from: one path, or one line of a page, per order.
     "listagem": """

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmroll.checks.fixtures import AS_OF, lookups, view, views
-from firmroll.fixed_values import FEED_COLUMNS, LOOKUP_COLUMNS, PIVOT_SOURCES, SIZE_OVERRIDE_TABLE
+from firmroll.fixed_values import FEED_COLUMNS, LOOKUP_COLUMNS, NO_QUOTE, PIVOT_SOURCES, SIZE_OVERRIDE_TABLE
 from firmroll.functions import cleaning, derive
 from firmroll.operators.lookups import Lookup, describe, measure_lookups
 from firmroll.operators.partners import partner_rank, top_partners
@@ -164,13 +164,13 @@ def enriched_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(feeds(spark, sf_dir), lookups(spark, sf_dir), AS_OF)
 
 
-def raw_csv(feed: str) -> Query:
+def raw_csv(feed: str, source: str | None = None, quote: str | None = None) -> Query:
     """Raw files without header -> scan by position -> clean -> export -> scan of the export."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw, processed = scratch_path(spark, f"raw-{feed}"), scratch_path(spark, f"processed-{feed}")
-        write_processed(view(spark, sf_dir, f"raw_{feed}"), raw, header=False)
-        write_processed(ingest_feed(spark, feed, f"{raw}/*.csv"), processed)
+        write_processed(view(spark, sf_dir, source or f"raw_{feed}"), raw, header=False, quote=quote or NO_QUOTE)
+        write_processed(ingest_feed(spark, feed, f"{raw}/*.csv", quote), processed)
         return read_processed(spark, feed, processed)
 
     return run
@@ -184,17 +184,33 @@ def scratch_database(spark: SparkSession) -> str:
 
 def staging_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = staging_name("estabelecimentos", "2003-06", scratch_database(spark))
-    write_staging(clean("estabelecimentos")(spark, sf_dir), table)
+    write_staging(clean("estabelecimentos")(spark, sf_dir), table, buckets=8)
     return spark.table(table)
 
 
+def publish_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish a month, fail while publishing the next one over it, read the live table."""
+    rows = active_establishments(view(spark, sf_dir, "estabelecimentos"))
+    rows, live = rows.withColumn("uf_geo", derive.uf_label(F.col("uf"))), f"{scratch_database(spark)}.live"
+    publish_snapshot(rows, live, "2003-05")
+    broken = F.when(F.col("uf") == "SP", F.raise_error(F.lit("no such month"))).otherwise(F.col("bairro"))
+    try:
+        publish_snapshot(rows.withColumn("bairro", broken.cast("string")), live, "2003-06", old_period="2003-05")
+    except Exception as error:  # Spark wraps the error of a task in more than one type
+        if "no such month" not in str(error):
+            raise
+    else:
+        raise AssertionError("the second month should have failed")
+    return spark.table(live)
+
+
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage all feeds, enrich, publish a month, publish the next one over it, read the live table."""
     database = scratch_database(spark)
     staged = {}
     for feed in FEED_COLUMNS:
         staged[feed] = staging_name(feed, "2003-06", database)
-        write_staging(clean(feed)(spark, sf_dir), staged[feed])
+        write_staging(clean(feed)(spark, sf_dir), staged[feed], buckets=8)
     inputs = Feeds(
         *[spark.table(staged[feed]) for feed in ("estabelecimentos", "empresas", "socios", "simples")],
         view(spark, sf_dir, SIZE_OVERRIDE_TABLE),
@@ -318,6 +334,8 @@ def queries() -> dict[str, Query]:
         "raw_csv_establishments": raw_csv("estabelecimentos"),
         "raw_csv_partners": raw_csv("socios"),
         "raw_csv_tax_status": raw_csv("simples"),
+        "raw_csv_quoted": raw_csv("empresas", "raw_empresas_com_separador", '"'),
         "staging_roundtrip": staging_roundtrip,
+        "publish_rollback": publish_rollback,
         "snapshot_roundtrip": snapshot_roundtrip,
     }

@@ -7,26 +7,26 @@ are set by the registry's code book. Nothing in this module computes anything.
 # --- fixed values: positional layout of the four raw feeds -------------------------------------------------------
 
 FEED_COLUMNS = {
-    "empresas": (
-        "cnpj_basico razao_social natureza_juridica qualificacao_responsavel capital_social porte_empresa "
-        "ente_federativo_responsavel"
-    ).split(),
-    "estabelecimentos": (
-        "cnpj_basico cnpj_ordem cnpj_dv identificador_matriz_filial nome_fantasia situacao_cadastral "
-        "data_situacao_cadastral motivo_situacao_cadastral nome_cidade_exterior pais data_inicio_atividade "
-        "cnae_fiscal_principal cnae_fiscal_secundaria tipo_logradouro logradouro numero complemento bairro cep uf "
-        "municipio ddd_1 telefone_1 ddd_2 telefone_2 ddd_fax fax correio_eletronico situacao_especial "
-        "data_situacao_especial"
-    ).split(),
-    "socios": (
-        "cnpj_basico identificador_socio nome_socio_razao_social cpf_cnpj_socio qualificacao_socio "
-        "data_entrada_sociedade pais representante_legal nome_representante qualificacao_representante_legal "
-        "faixa_etaria"
-    ).split(),
-    "simples": (
-        "cnpj_basico opcao_simples data_opcao_simples data_exclusao_simples opcao_mei data_opcao_mei "
-        "data_exclusao_mei"
-    ).split(),
+    "empresas": [
+        "cnpj_basico", "razao_social", "natureza_juridica", "qualificacao_responsavel", "capital_social",
+        "porte_empresa", "ente_federativo_responsavel",
+    ],
+    "estabelecimentos": [
+        "cnpj_basico", "cnpj_ordem", "cnpj_dv", "identificador_matriz_filial", "nome_fantasia", "situacao_cadastral",
+        "data_situacao_cadastral", "motivo_situacao_cadastral", "nome_cidade_exterior", "pais", "data_inicio_atividade",
+        "cnae_fiscal_principal", "cnae_fiscal_secundaria", "tipo_logradouro", "logradouro", "numero", "complemento",
+        "bairro", "cep", "uf", "municipio", "ddd_1", "telefone_1", "ddd_2", "telefone_2", "ddd_fax", "fax",
+        "correio_eletronico", "situacao_especial", "data_situacao_especial",
+    ],
+    "socios": [
+        "cnpj_basico", "identificador_socio", "nome_socio_razao_social", "cpf_cnpj_socio", "qualificacao_socio",
+        "data_entrada_sociedade", "pais", "representante_legal", "nome_representante",
+        "qualificacao_representante_legal", "faixa_etaria",
+    ],
+    "simples": [
+        "cnpj_basico", "opcao_simples", "data_opcao_simples", "data_exclusao_simples", "opcao_mei", "data_opcao_mei",
+        "data_exclusao_mei",
+    ],
 }
 
 # --- fixed values: raw file format -------------------------------------------------------------------------------
@@ -66,9 +66,10 @@ DATE_FORMAT = "yyyyMMdd"
 # --- fixed values: which rows are published ----------------------------------------------------------------------
 
 ACTIVE_STATUS = "02"
-PUBLISHED_UFS = (
-    "AC AL AM AP BA CE DF ES GO MA MG MS MT PA PB PE PI PR RJ RN RO RR RS SC SE SP TO EX".split() + [""]
-)
+PUBLISHED_UFS = [
+    "AC", "AL", "AM", "AP", "BA", "CE", "DF", "ES", "GO", "MA", "MG", "MS", "MT", "PA", "PB", "PE", "PI", "PR", "RJ",
+    "RN", "RO", "RR", "RS", "SC", "SE", "SP", "TO", "EX", "",
+]
 
 # --- fixed values: labels ----------------------------------------------------------------------------------------
 
@@ -104,11 +105,11 @@ AGE_BANDS = [(2, "0-2 ANOS"), (5, "2-5 ANOS"), (10, "5-10 ANOS")]
 OLDEST_AGE_BAND = "ACIMA DE 10 ANOS"
 
 REGIONS = {
-    "Norte": "AC AM AP PA RO RR TO".split(),
-    "Nordeste": "AL BA CE MA PB PE PI RN SE".split(),
-    "Centro-Oeste": "DF GO MT MS".split(),
-    "Sudeste": "ES MG RJ SP".split(),
-    "Sul": "PR RS SC".split(),
+    "Norte": ["AC", "AM", "AP", "PA", "RO", "RR", "TO"],
+    "Nordeste": ["AL", "BA", "CE", "MA", "PB", "PE", "PI", "RN", "SE"],
+    "Centro-Oeste": ["DF", "GO", "MT", "MS"],
+    "Sudeste": ["ES", "MG", "RJ", "SP"],
+    "Sul": ["PR", "RS", "SC"],
     "Exterior": ["EX"],
 }
 REGION_UNKNOWN = "Nao Informado"
@@ -118,27 +119,33 @@ UF_UNKNOWN = "nao informado"
 
 PARTNER_SLOTS = (1, 2, 3)
 
-ESTABLISHMENT_AND_COMPANY_COLUMNS = (
-    "cnpj cnpj_basico cnpj_ordem cnpj_dv matriz_filial desc_matriz_filial nome_fantasia situacao_cadastral "
-    "desc_situacao_cadastral data_situacao_cadastral motivo_situacao_cadastral cidade_exterior pais "
-    "data_inicio_atividade cnae_principal desc_cnae_principal cnae_secundario tipo_logradouro logradouro numero "
-    "complemento bairro cep uf municipio desc_municipio ddd_1 telefone_1 ddd_2 telefone_2 ddd_fax fax email "
-    "situacao_especial data_situacao_especial latitude longitude razao_social natureza_juridica "
-    "desc_natureza_juridica qualificacao_responsavel desc_qualificacao_responsavel capital_social porte desc_porte "
-    "ente_federativo_responsavel"
-).split()
-
-PARTNER_COLUMNS = (
-    "nome_socio cpf_cnpj_socio identificador_socio desc_identificador_socio qualificacao_socio "
-    "desc_qualificacao_socio data_entrada_sociedade faixa_etaria desc_faixa_etaria nome_representante "
-    "qualificacao_representante desc_qualificacao_representante"
-).split()
-
-REGIME_AND_BAND_COLUMNS = (
-    "opcao_simples data_opcao_simples data_exclusao_simples opcao_mei data_opcao_mei data_exclusao_mei "
-    "tipo_simples_mei porte_empresa desc_porteempresa_corrigido faixa_faturamento_anual_ajustada "
-    "faixa_idade_empresa regiao_geo uf_geo linha_unica"
-).split()
+# --- fixed values: names of archived tables, by whether the archived period is known ------------------------------
+
+ARCHIVE_OF_PERIOD = "{table}_{period}"
+ARCHIVE_BEFORE_PERIOD = "{table}_{period}_bkp"
+
+ESTABLISHMENT_AND_COMPANY_COLUMNS = [
+    "cnpj", "cnpj_basico", "cnpj_ordem", "cnpj_dv", "matriz_filial", "desc_matriz_filial", "nome_fantasia",
+    "situacao_cadastral", "desc_situacao_cadastral", "data_situacao_cadastral", "motivo_situacao_cadastral",
+    "cidade_exterior", "pais", "data_inicio_atividade", "cnae_principal", "desc_cnae_principal", "cnae_secundario",
+    "tipo_logradouro", "logradouro", "numero", "complemento", "bairro", "cep", "uf", "municipio", "desc_municipio",
+    "ddd_1", "telefone_1", "ddd_2", "telefone_2", "ddd_fax", "fax", "email", "situacao_especial",
+    "data_situacao_especial", "latitude", "longitude", "razao_social", "natureza_juridica", "desc_natureza_juridica",
+    "qualificacao_responsavel", "desc_qualificacao_responsavel", "capital_social", "porte", "desc_porte",
+    "ente_federativo_responsavel",
+]
+
+PARTNER_COLUMNS = [
+    "nome_socio", "cpf_cnpj_socio", "identificador_socio", "desc_identificador_socio", "qualificacao_socio",
+    "desc_qualificacao_socio", "data_entrada_sociedade", "faixa_etaria", "desc_faixa_etaria", "nome_representante",
+    "qualificacao_representante", "desc_qualificacao_representante",
+]
+
+REGIME_AND_BAND_COLUMNS = [
+    "opcao_simples", "data_opcao_simples", "data_exclusao_simples", "opcao_mei", "data_opcao_mei", "data_exclusao_mei",
+    "tipo_simples_mei", "porte_empresa", "desc_porteempresa_corrigido", "faixa_faturamento_anual_ajustada",
+    "faixa_idade_empresa", "regiao_geo", "uf_geo", "linha_unica",
+]
 
 NULLABLE_TEXT_COLUMNS = {
     "desc_cnae_principal",

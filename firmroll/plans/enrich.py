@@ -23,13 +23,14 @@ from firmroll.fixed_values import (
 )
 from firmroll.functions import derive
 from firmroll.operators.lookups import Lookup, describe, measure_lookups
-from firmroll.operators.numbering import number_sorted
+from firmroll.operators.numbering import number_ranged
 from firmroll.operators.partners import top_partners
 from firmroll.operators.skew import Hot, hot_keys, left_join_all
 from firmroll.sources.schemas import TARGET_SCHEMA
 
 KEY = "cnpj_basico"
 ROW_NUMBER = "linha_unica"
+PARTITION = "uf_geo"
 LAYOUT = ["uf", "cnpj_basico", "cnpj_ordem", "cnpj_dv"]
 
 # Code column -> its dictionary and the column for the description.
@@ -187,13 +188,19 @@ def enriched_rows(
     return conform(joined(feeds, measured(lookups), hot), target_values(as_of))
 
 
-def number_by_uf(rows: DataFrame) -> DataFrame:
-    """Add ``linha_unica``: 1..n within each state, in the order of the company and establishment key."""
-    return number_sorted(rows, LAYOUT[:1], LAYOUT[1:], ROW_NUMBER)
+def number_by_uf(rows: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """Add ``linha_unica``: 1..n within each state, in the order of the company and establishment key.
+
+    ``keys`` is a narrow scan with the key columns of ``rows``, by default ``rows``. Rows leave sorted by state label,
+    if they have one, and key, as the published table stores them.
+    """
+    first = [PARTITION] if PARTITION in rows.columns else []
+    return number_ranged(rows, rows if keys is None else keys, LAYOUT[:1], LAYOUT[1:], ROW_NUMBER, first)
 
 
 def enrich(
     feeds: Feeds, lookups: Mapping[str, DataFrame], as_of: dt.date, hot: Hot | None = None
 ) -> DataFrame:
-    """The whole target, 96 columns."""
-    return conform(number_by_uf(enriched_rows(feeds, lookups, as_of, hot)))
+    """The whole target, 96 columns. The wide rows are made once and move once after the joins."""
+    keys = active_establishments(feeds.establishments).select(LAYOUT)
+    return number_by_uf(enriched_rows(feeds, lookups, as_of, hot), keys).select(TARGET_SCHEMA.names)

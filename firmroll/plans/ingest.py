@@ -5,29 +5,40 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from firmroll.functions.cleaning import clean_feed
 from firmroll.sources.feeds import read_raw
 from firmroll.sources.storage import staging_name, write_staging
 
+BUCKET_BYTES = 256 * 1024 * 1024
+
 
 def ingest_feed(spark: SparkSession, feed: str, paths: str | Sequence[str], quote: str | None = None) -> DataFrame:
     """Scan, name and clean one feed: a narrow plan without any shuffle. All columns are text and never NULL."""
     return clean_feed(read_raw(spark, feed, paths, quote), feed)
 
 
+def bucket_count(spark: SparkSession, raw_root: str, period: str, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets for all feeds of a month, from the bytes of its largest feed's raw files; their contents are not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(f"{raw_root.rstrip('/')}/{period}")
+    feed = F.regexp_extract("path", r"([A-Za-z]+)[^/]*$", 1)
+    largest = files.groupBy(feed).agg(F.sum("length").alias("n")).agg(F.max("n")).first()[0]
+    return max(1, -(-(largest or 0) // bucket_bytes))
+
+
 def stage_feed(
     spark: SparkSession,
     feed: str,
     paths: str | Sequence[str],
     period: str,
+    buckets: int,
     database: str | None = None,
-    buckets: int = 8,
     path: str | None = None,
 ) -> str:
     """Ingest one feed into its staging table of the month and return the table's name.
 
-    Choose ``buckets`` alike for all feeds and so that a bucket of the largest feed fits a task, some 200 to 500 MB.
+    ``buckets`` must be alike for all feeds of a month; :func:`bucket_count` finds it.
     """
     table = staging_name(feed, period, database)
     write_staging(ingest_feed(spark, feed, paths), table, buckets=buckets, path=path)

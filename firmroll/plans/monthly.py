@@ -9,19 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from firmroll.fixed_values import FEED_COLUMNS, LOOKUP_COLUMNS, SIZE_OVERRIDE_TABLE
 from firmroll.plans.enrich import Feeds, enrich
-from firmroll.plans.ingest import stage_feed
+from firmroll.plans.ingest import bucket_count, stage_feed
 from firmroll.plans.metrics import snapshot_metrics
 from firmroll.plans.publish import publish_snapshot
 from firmroll.sources.feeds import shard_glob
+from firmroll.sources.listing import compact_period
 from firmroll.sources.storage import read_snapshot, staging_name
 
 
 def stage_month(
-    spark: SparkSession, raw_root: str, period: str, database: str | None = None, buckets: int = 8
+    spark: SparkSession, raw_root: str, period: str, database: str | None = None, buckets: int | None = None
 ) -> dict[str, str]:
-    """Stage all four feeds; feed -> staging table. A feed that cannot be read fails the run."""
+    """Stage all four feeds; feed -> staging table. A feed that cannot be read fails the run.
+
+    All feeds get the same number of buckets, by default from the size of the largest one.
+    """
+    buckets = buckets or bucket_count(spark, raw_root, period)
     return {
-        feed: stage_feed(spark, feed, shard_glob(raw_root, period, feed), period, database, buckets)
+        feed: stage_feed(spark, feed, shard_glob(raw_root, period, feed), period, buckets, database)
         for feed in FEED_COLUMNS
     }
 
@@ -53,7 +58,9 @@ def publish_month(
     database: str | None = None,
     path: str | None = None,
 ) -> DataFrame:
-    """Enrich the staged month and publish it; returns the counts of the run."""
+    """Enrich the staged month and publish it; returns the counts of the run, stored as ``<table>_metrics_<yyyymm>``."""
     feeds = staged_feeds(spark, period, lookups[SIZE_OVERRIDE_TABLE], database)
     publish_snapshot(enrich(feeds, lookups, as_of), table, period, old_period, path)
-    return snapshot_metrics(feeds, read_snapshot(spark, table))
+    counts = f"{table}_metrics_{compact_period(period)}"
+    snapshot_metrics(feeds, read_snapshot(spark, table)).write.mode("overwrite").format("parquet").saveAsTable(counts)
+    return spark.table(counts)

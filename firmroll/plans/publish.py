@@ -6,17 +6,16 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firmroll.plans.enrich import LAYOUT
+from firmroll.fixed_values import ARCHIVE_BEFORE_PERIOD, ARCHIVE_OF_PERIOD
+from firmroll.plans.enrich import PARTITION
 from firmroll.sources.listing import compact_period
 
-PARTITION = "uf_geo"
 
 
 def archive_name(table: str, period: str, old_period: str | None = None) -> str:
-    """``<table>_<old period>``, or ``<table>_<new period>_bkp`` if the old period is not known."""
-    if old_period:
-        return f"{table}_{compact_period(old_period)}"
-    return f"{table}_{compact_period(period)}_bkp"
+    """Name that the live table takes when it makes way for ``period``."""
+    pattern = ARCHIVE_OF_PERIOD if old_period else ARCHIVE_BEFORE_PERIOD
+    return pattern.format(table=table, period=compact_period(old_period or period))
 
 
 def snapshot_root(spark: SparkSession, table: str) -> str:
@@ -30,11 +29,11 @@ def write_snapshot(df: DataFrame, table: str, path: str) -> None:
     """Write rows partitioned by state and sorted by key within each file, as an external table at ``path``.
 
     The partition column is the never-blank state label, since a blank partition value would come back as NULL.
-    Numbered rows arrive ranged by state and key, so each task holds few states and no shuffle is added here.
+    Numbered rows arrive ranged and sorted by state and key, so each task holds few states and nothing moves or is
+    sorted again here.
     """
     (
-        df.sortWithinPartitions(PARTITION, *LAYOUT)
-        .write.mode("errorifexists")
+        df.write.mode("errorifexists")
         .format("parquet")
         .partitionBy(PARTITION)
         .option("path", path)

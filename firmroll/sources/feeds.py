@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from firmroll.fixed_values import FEED_FILE_PREFIX, FEED_QUOTE, FIELD_SEPARATOR, FILE_ENCODING, NO_QUOTE
+from firmroll.fixed_values import FEED_FILE_PREFIX, FEED_QUOTE, FIELD_SEPARATOR, FILE_ENCODING
 from firmroll.functions.cleaning import blank_if_null
 from firmroll.sources.schemas import feed_schema
 
@@ -42,6 +43,7 @@ def read_processed(spark: SparkSession, feed: str, path: str) -> DataFrame:
         .option("enforceSchema", True)
         .option("sep", FIELD_SEPARATOR)
         .option("quote", '"')
+        .option("escape", '"')
         .option("encoding", FILE_ENCODING)
         .option("mode", "PERMISSIVE")
         .csv(path)
@@ -49,13 +51,25 @@ def read_processed(spark: SparkSession, feed: str, path: str) -> DataFrame:
     return loaded.select([blank_if_null(loaded[name]).alias(name) for name in loaded.columns])
 
 
-def write_processed(df: DataFrame, path: str, header: bool = True) -> None:
-    """Export as ``;``-separated Latin-1 without quoting, in as many part files as there are partitions."""
+def _one_line(name: str) -> Column:
+    value = F.col(name)
+    message = F.lit(f"a line break in {name}: the files hold one row per line")
+    return F.when(value.rlike("[\r\n]"), F.raise_error(message)).otherwise(value).alias(name)
+
+
+def write_processed(df: DataFrame, path: str, header: bool = True, quote: str = '"') -> None:
+    """Export as ``;``-separated Latin-1, in as many part files as there are partitions.
+
+    A field that holds the separator or a quote is quoted, with its quotes doubled; all others are written as they are.
+    A line break fails the export, since readers split files at lines. ``NO_QUOTE`` writes every field as it is.
+    """
     (
-        df.write.mode("overwrite")
+        df.select([_one_line(name) for name in df.columns])
+        .write.mode("overwrite")
         .option("header", header)
         .option("sep", FIELD_SEPARATOR)
-        .option("quote", NO_QUOTE)
+        .option("quote", quote)
+        .option("escape", '"')
         .option("encoding", FILE_ENCODING)
         .option("emptyValue", "")
         .option("nullValue", "")

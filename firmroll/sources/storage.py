@@ -44,7 +44,7 @@ def staging_name(feed: str, period: str, database: str | None = None) -> str:
     return f"{database}.{name}" if database else name
 
 
-def write_staging(df: DataFrame, table: str, key: str = "cnpj_basico", buckets: int = 8, path: str | None = None) -> None:
+def write_staging(df: DataFrame, table: str, buckets: int, key: str = "cnpj_basico", path: str | None = None) -> None:
     """Replace a staging table, bucketed and sorted by ``key`` so that joins on it need no shuffle.
 
     Rows travel once, hashed as the buckets are, so each task writes one bucket. A bucket that outgrows the advisory

@@ -1,6 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
-from firmroll.plans.ingest import ingest_feed
+from firmroll.plans.ingest import bucket_count, ingest_feed
 from firmroll.sources.feeds import read_processed, read_raw, shard_glob, write_processed
 from firmroll.sources.listing import compact_period, latest_period, latest_period_in_pages, require_period
 from firmroll.sources.schemas import feed_schema
@@ -54,6 +55,15 @@ def test_shards_of_a_period_are_read_together(spark, tmp_path):
     ]
 
 
+def test_buckets_follow_the_largest_feed(spark, tmp_path):
+    write_lines(tmp_path / "2026-03", "Socios0.csv", [b"x" * 1000])
+    write_lines(tmp_path / "2026-03", "Empresas0.csv", [b"x" * 3000])
+    write_lines(tmp_path / "2026-03", "Empresas1.csv", [b"x" * 4000])
+    assert bucket_count(spark, str(tmp_path), "2026-03", 1000) == 8
+    assert bucket_count(spark, str(tmp_path), "2026-03", 4000) == 2
+    assert bucket_count(spark, str(tmp_path), "2026-03") == 1
+
+
 def test_ingest_cleans_every_field(spark, tmp_path):
     write_lines(tmp_path, "Empresas0.csv", LINES)
     rows = by_first(ingest_feed(spark, "empresas", str(tmp_path)))
@@ -73,6 +83,18 @@ def test_export_reads_back(spark, tmp_path):
     assert back["2"] == ("2", "", "", "", "", "", "")
 
 
+def test_export_of_separators_and_quotes(spark, tmp_path):
+    values = [("1", "a;b", 'say "x"; y', '"', "c\\", ";", "z"), ("2", "p", "", "", "", "", "q")]
+    df = spark.createDataFrame(values, feed_schema("empresas"))
+    write_processed(df.coalesce(1), str(tmp_path / "out"))
+    text = b"".join(file.read_bytes() for file in (tmp_path / "out").glob("part-*")).splitlines()
+    assert text[1] == b'1;"a;b";"say ""x""; y";"""";c\\;";";z' and text[2] == b"2;p;;;;;q"
+    assert by_first(read_processed(spark, "empresas", str(tmp_path / "out"))) == {v[0]: v for v in values}
+    broken = df.selectExpr("*").withColumn("razao_social", F.lit("two\nlines"))
+    with pytest.raises(Exception, match="line break"):
+        write_processed(broken, str(tmp_path / "bad"))
+
+
 def test_export_of_short_and_long_rows(spark, tmp_path):
     write_lines(tmp_path, "e.csv", [b"a;b;c", b"1;x", b"2;1;2;3;4;5;6;7"])
     rows = by_first(read_processed(spark, "empresas", str(tmp_path)))

@@ -2,6 +2,7 @@
 
 import re
 import uuid
+from pathlib import Path
 
 import pytest
 from plan_text import explained, operators
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from firmroll.checks.fixtures import AS_OF, lookups, view
 from firmroll.fixed_values import FEED_COLUMNS, SIZE_OVERRIDE_TABLE
+from firmroll.operators import lookups as lookup_module
+from firmroll.operators.numbering import range_bounds, range_number
 from firmroll.operators.partners import top_partners
 from firmroll.plans import enrich as plan
 from firmroll.plans.monthly import staged_feeds
@@ -116,11 +119,53 @@ def test_unused_columns_are_not_read(spark, staged):
     assert schema == "struct<situacao_cadastral:string,uf:string>"
 
 
-def test_row_numbers_are_added_without_a_shuffle_of_the_rows(spark, staged):
-    rows = plan.active_establishments(staged.establishments)
-    numbered = plan.number_by_uf(rows)
-    tree = explained(numbered, "simple")
+def test_rows_move_once_to_be_numbered(spark, staged):
+    """One shuffle of the rows and one of the counts; the rows are sorted once, in the published order."""
+    rows = plan.active_establishments(staged.establishments).withColumn("uf_geo", F.col("uf"))
+    tree = explained(plan.number_by_uf(rows), "simple")
     above_join, side = tree.split("BroadcastHashJoin", 1)
     probe, build = side.split("BroadcastExchange", 1)
-    assert "Exchange" not in above_join and "Exchange" not in probe
-    assert "Window" not in above_join and "Window" not in probe and "Window" in build
+    assert "Exchange" not in above_join and "Window" not in above_join
+    assert probe.count("Exchange") == 1 and probe.count("Window") == 1 and probe.count("Sort") == 1
+    assert "SinglePartition" not in tree and "Python" not in tree
+    order = re.search(r"Sort \[([^\]]*)\]", probe).group(1)
+    assert re.sub(r"#\d+", "", order).replace(" ASC NULLS FIRST", "").split(", ")[:4] == [
+        "uf_geo", "uf", "_range", "cnpj_basico",
+    ]
+    narrow = re.search(r"ReadSchema: (.*)", explained(plan.number_by_uf(rows)).split("BroadcastExchange")[-1])
+    assert narrow is None or "nome_fantasia" not in narrow.group(1)
+
+
+@pytest.mark.usefixtures("no_automatic_broadcast")
+def test_publishing_sorts_the_wide_rows_once_and_stores_them_once(spark, staged, tmp_path_factory):
+    """No scratch table between the joins and the published one."""
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.rglob("*.parquet")) if shared.exists() else set()
+    rows = plan.enrich(staged, lookups(spark, SMALL), AS_OF)
+    names = operators(rows)
+    assert names.count("Window") <= 3 and "SinglePartition" not in explained(rows)
+    assert (set(shared.rglob("*.parquet")) if shared.exists() else set()) == before
+
+
+@pytest.mark.usefixtures("no_automatic_broadcast")
+@pytest.mark.parametrize("repeat", [False, True])
+def test_large_dictionaries_read_every_table_once(spark, staged, monkeypatch, repeat):
+    """Also if codes repeat: no plan is doubled per dictionary."""
+    monkeypatch.setattr(lookup_module, "BROADCAST_LIMIT_BYTES", 0)
+    tables = lookups(spark, SMALL)
+    if repeat:
+        tables = {name: df.unionAll(df) if name.startswith("dict_") else df for name, df in tables.items()}
+    df = plan.joined(staged, plan.measured(tables), hot=[])
+    text = explained(df, "simple")
+    for feed, column in (("socios", "faixa_etaria"), ("estabelecimentos", "nome_fantasia"), ("simples", "opcao_mei")):
+        scans = [line for line in text.splitlines() if "Scan parquet" in line and f"{feed}_200306" in line]
+        assert len(scans) == 1, (feed, column)
+
+
+@pytest.mark.parametrize("n", [1, 5, 40])
+def test_ranges_follow_the_order(spark, n):
+    rows = spark.range(500).selectExpr("cast(id % 7 as string) as a", "cast(id * 7919 % 1000 as string) as b")
+    bounds = range_bounds(rows, ["a", "b"], n)
+    assert len(bounds) <= n - 1
+    found = rows.withColumn("r", range_number(["a", "b"], bounds)).collect()
+    assert all(r["r"] == sum(b <= (r["a"], r["b"]) for b in bounds) for r in found)

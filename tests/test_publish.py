@@ -2,11 +2,14 @@ import datetime as dt
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from firmroll.__main__ import main, parser
 from firmroll.checks.fixtures import AS_OF, lookups, view
-from firmroll.fixed_values import FEED_COLUMNS, FEED_FILE_PREFIX
+from firmroll.fixed_values import FEED_COLUMNS, FEED_FILE_PREFIX, NO_QUOTE
 from firmroll.plans import monthly, publish
+from firmroll.plans.enrich import Feeds
+from firmroll.plans.metrics import snapshot_metrics
 from firmroll.plans.publish import archive_name, publish_snapshot
 from firmroll.sources.feeds import write_processed
 from firmroll.sources.storage import read_snapshot, write_staging
@@ -118,11 +121,11 @@ def test_staging_spreads_a_company_with_a_third_of_all_rows(spark, database):
 def test_month_from_raw_files_to_live_table(spark, database, tmp_path):
     raw = tmp_path / "raw"
     for feed in FEED_COLUMNS:
-        write_processed(view(spark, SMALL, f"raw_{feed}").repartition(2), str(tmp_path / feed), header=False)
+        write_processed(view(spark, SMALL, f"raw_{feed}").repartition(2), str(tmp_path / feed), header=False, quote=NO_QUOTE)
         (raw / "2003-06").mkdir(parents=True, exist_ok=True)
         for i, part in enumerate(sorted((tmp_path / feed).glob("part-*"))):
             (raw / "2003-06" / f"{FEED_FILE_PREFIX[feed]}{i}.csv").write_bytes(part.read_bytes())
-    staged = monthly.stage_month(spark, str(raw), "2003-06", database, buckets=4)
+    staged = monthly.stage_month(spark, str(raw), "2003-06", database)
     assert staged["empresas"] == f"{database}.empresas_200306"
     live = f"{database}.live"
     counts = monthly.publish_month(spark, "2003-06", lookups(spark, SMALL), AS_OF, live, database=database)
@@ -134,6 +137,22 @@ def test_month_from_raw_files_to_live_table(spark, database, tmp_path):
     assert found["unreadable_capital", None] == view(spark, SMALL, "empresas").where("capital_social = 'n/d'").count()
 
 
+def test_counts_of_hundreds_of_unknown_states(spark):
+    feeds = [view(spark, SMALL, name) for name in ("estabelecimentos", "empresas", "socios", "simples", "empresa_faixas_opt")]
+    unknown = feeds[0].limit(1).withColumn("situacao_cadastral", F.lit("02"))
+    many = unknown.crossJoin(spark.range(300)).withColumn("uf", F.concat(F.lit("state "), "id")).drop("id")
+    missing = unknown.withColumn("uf", F.lit(None).cast("string"))
+    inputs = Feeds(feeds[0].unionByName(many).unionByName(missing), *feeds[1:])
+    found = snapshot_metrics(inputs, missing.unionByName(missing))
+    rows = {(r["metric"], r["item"]): r["n"] for r in found.collect()}
+    assert sum(m == "dropped_rows" and i.startswith("state ") for m, i in rows) == 300
+    assert rows["loaded_rows", "estabelecimentos"] == inputs.establishments.count()
+    # Rows without a state are no second total.
+    assert rows["published_total", None] == 2 and rows["published_rows", None] == 2
+    empty = snapshot_metrics(Feeds(*[f.limit(0) for f in feeds]), feeds[0].limit(0)).collect()
+    assert {(r["metric"], r["item"]): r["n"] for r in empty}["published_total", None] == 0
+
+
 def test_stage_command(spark, database, tmp_path, capsys):
     (tmp_path / "2026-03").mkdir()
     (tmp_path / "2026-03" / "Simples.csv").write_bytes(b'"1";"S";"20070701";"00000000";"N";"0";""\n')
