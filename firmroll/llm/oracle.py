@@ -2,12 +2,87 @@
 
 from __future__ import annotations
 
-from firmroll.llm import quality, url_filter
+from firmroll.llm import quality, secrets, url_filter
 
 BLANK = r"[\x20\x09-\x0D]"
 NOT_BLANK = r"[^\x20\x09-\x0D]"
 
 
+def _quoted(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _matches(name: str, pattern: str, group: int) -> str:
+    """Matches with their positions: the parts between them, and they, are measured in turn."""
+    pattern = _quoted(pattern)
+    return f"""
+{name}_all as (select rid, regexp_extract_all(t, {pattern}) as found, regexp_extract_all(t, {pattern}, {group}) as vals,
+  string_split_regex(t, {pattern}) as gaps from d),
+{name}_rows as (select rid, unnest(range(1, len(found) + 1)) as i, unnest(found) as m, unnest(vals) as v,
+  unnest(gaps[1:len(found)]) as g from {name}_all),
+{name} as (select rid, i, m, v, sum(length(g) + length(m)) over (partition by rid order by i)::bigint as e from {name}_rows)"""
+
+
+def op1_secret_scan() -> str:
+    """Positions and all sums by window functions over exploded matches and characters."""
+    parts, base = [], []
+    for order, (kind, (pattern, group, least)) in enumerate(secrets.PATTERNS.items()):
+        parts.append(_matches(kind, pattern, group))
+        base.append(
+            f"select rid, e - length(m) as s, e, {order} as o, '{kind}' as kind from {kind} where length(v) >= {least}"
+        )
+    parts.append(_matches("token_run", secrets.TOKEN, 0))
+    abc = " ".join(f"when regexp_matches(v, '{e[1]}') then '{e[2]}'" for e in secrets.ENCODINGS)
+    mass = " ".join(f"when regexp_matches(v, '{e[1]}') then {e[3]}::double" for e in secrets.ENCODINGS)
+
+    def tail(z: str) -> str:
+        return f"(1 / (1 + exp(least(1.5976 * ({z}) + 0.07056 * pow({z}, 3), 600))))"
+
+    p, q = secrets.EQUAL_PAIR, secrets.EQUAL_TRIPLE
+    counts = ", ".join(f"count(*) filter (where kind = '{k}') as n_{k}" for k in secrets.KINDS)
+    n_columns = ", ".join(f"coalesce(b.n_{k}, 0) as n_{k}" for k in secrets.KINDS)
+    listed = "string_agg(kind || ':' || s || ':' || e, ',' order by s, o, e)"
+    return f"""
+with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents), {", ".join(parts)},
+base as ({" union all ".join(base)}),
+cand as (select row_number() over () as cid, * from (
+  select rid, e - length(m) as s, e, rtrim(m, '=') as v from token_run) c
+  where length(v) >= {secrets.MIN_LENGTH}
+  and not exists (select 1 from base b where b.rid = c.rid and b.s < c.e and b.e > c.s)),
+enc as (select *, length(v)::double as n, case {abc} end as abc, case {mass} end as mass from cand),
+chars as (select cid, n, length(abc)::double as a, unnest(range(1, length(v) + 1)) as i, unnest(string_split(v, '')) as ch,
+  abc from enc where abc is not null),
+x as (select cid, i, n, a, ch, (instr(abc, ch) - 1)::double as x, avg((instr(abc, ch) - 1)::double) over (partition by cid) as mean
+  from chars),
+pairs as (select cid, sum(c * (c - 1) / 2.0) as u from (select cid, ch, count(*)::double as c from chars group by all) group by cid),
+steps as (select *, lag(x) over (partition by cid order by i) as p from x),
+sums as (select cid, any_value(n) as n, any_value(a) as a, (count(*) filter (where 2 * x >= a))::double as high,
+  1 + (count(*) filter (where p is not null and (2 * p >= a) <> (2 * x >= a)))::double as runs,
+  sum((x - mean) * (x - mean)) as spread, sum((p - mean) * (x - mean)) filter (where p is not null) as serial
+  from steps group by cid),
+z as (select cid, n, (a / n * (n + 2 * u) - n - (a - 1)) / sqrt(2 * (a - 1) * (n - 1) / n) as zu,
+  case when high * (n - high) = 0 then 40 else abs(runs - 1 - 2 * high * (n - high) / n) / sqrt(greatest(2 * high * (n - high)
+   * (2 * high * (n - high) - n) / (n * n * (n - 1)), 1e-9)) end as zr,
+  case when spread = 0 then 40 else abs(serial / spread * sqrt(n)) end as zs,
+  (u - n * (n - 1) / 2 * {p}) / sqrt(n * (n - 1) / 2 * {p - p**2} + n * (n - 1) * (n - 2) * {q - p**2}) as zw
+  from sums join pairs using (cid)),
+f as (select cid, rid, s, e, z.n, -2 * (ln({tail("zu")}) + ln(least(1, 2 * {tail("zr")})) + ln(least(1, 2 * {tail("zs")}))) as fi,
+  -log10({tail("-zw")}) - z.n * log10(mass) as ev from z join enc using (cid)),
+judged as (select rid, s, e, floor(log2(n))::int as class, floor(10 * least(ev, 300))::int as tenth,
+  exp(-fi / 2) * (1 + fi / 2 + fi * fi / 8) >= {secrets.LEAST_RANDOM} as random from f),
+counted as (select class, tenth, count(*) as n from judged group by all),
+ranked as (select class, tenth, sum(n) over (partition by class) as total,
+  sum(n) over (partition by class order by tenth desc) as upto from counted),
+limits as (select class, min(tenth) as least from ranked
+  where pow(10.0, -tenth / 10.0) <= upto / total * {secrets.FALSE_DISCOVERIES} group by class),
+spans as (select rid, s, e, o, kind from base union all
+  select rid, s, e, {len(secrets.KINDS)}, '{secrets.RANDOM}' from judged join limits using (class) where random and tenth >= least),
+b as (select rid, {counts}, {listed} as spans from base group by rid),
+every as (select rid, {listed} as spans from spans group by rid)
+select doc_id, {n_columns}, sha256(coalesce(b.spans, '')) as base_sha256, coalesce(every.spans, '') as spans
+from d left join b using (rid) left join every using (rid)"""
+
+
 def op5_exact_dedup() -> str:
     return rf"""
 with n as (select doc_id, length(coalesce(text,'')) as chars, row_number() over () as rid,
@@ -123,6 +198,7 @@ from m"""
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_secret_scan": op1_secret_scan(),
         "op5_exact_dedup": op5_exact_dedup(),
         "op8_warc": op8_warc(),
         "op9_url_filter": op9_url_filter(),

@@ -3,7 +3,9 @@ import random
 import re
 import string
 
-from firmroll.llm import secrets
+import duckdb
+
+from firmroll.llm import oracle, secrets
 
 PLAIN = {
     "assign": (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 12),
@@ -47,6 +49,10 @@ def test_whole_table(spark, sf_dir):
     assert sum("random:" in r.spans for r in found) <= 2
 
 
+def test_query(same_as_sql):
+    same_as_sql("op1_secret_scan")
+
+
 BITS = [
     "token", "Secret", "PASSWD", "api_key", "apikey", "=", ":", " ", "  ", '"', "'", "abcdefghijkl", "x1/+_.=-", "é", "👍",
     "AKIA", "ABCDEFGH12345678", "0123456789abcdef", "dead", "\n", "g", "password", "ſecret", "toKen",
@@ -81,6 +87,12 @@ def test_random_strings_are_found_and_words_are_not(documents):
             text += f" é 👍 {key} end"
         rows.append((i, text))
     found = {r.doc_id: r.spans for r in secrets.find_secrets(documents(rows)).collect()}
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    twin = con.execute(oracle.op1_secret_scan())
+    names = [c[0] for c in twin.description]
+    assert {r[names.index("doc_id")]: r[names.index("spans")] for r in twin.fetchall()} == found
     hit = [f"random:{a}:{b}" in found[i] for i, (a, b) in planted.items()]
     assert sum(hit) >= 0.9 * len(hit)
     assert sum("random" in found[i] for i in found if i not in planted) <= 4
