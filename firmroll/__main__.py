@@ -12,6 +12,7 @@ from firmroll.fixed_values import FEED_COLUMNS
 from firmroll.plans.ingest import bucket_count, stage_feed
 from firmroll.plans.monthly import lookup_tables, publish_month
 from firmroll.sources.feeds import shard_glob
+from firmroll.sources.storage import clear_scratch
 
 
 def parser() -> argparse.ArgumentParser:
@@ -38,11 +39,7 @@ def parser() -> argparse.ArgumentParser:
 
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
-    builder = SparkSession.builder.appName(f"firmroll-{args.command}")
-    if args.command == "stage":
-        # Cleaning makes one wide projection; above this size the JVM would only interpret its method.
-        builder = builder.config("spark.sql.codegen.hugeMethodLimit", 8000)
-    spark = builder.getOrCreate()
+    spark = SparkSession.builder.appName(f"firmroll-{args.command}").getOrCreate()
     if args.command == "stage":
         raw = shard_glob(args.raw_root, args.period, args.feed)
         buckets = args.buckets or bucket_count(spark, args.raw_root, args.period)
@@ -62,6 +59,7 @@ def main(arguments: list[str] | None = None) -> None:
     summary = counts.groupBy("metric").agg(F.count("item").alias("items"), F.sum("n").alias("n")).orderBy("metric")
     for row in summary.collect():
         print(f"{row['metric']}: {row['n']}" + (f" in {row['items']} items" if row["items"] else ""))
+    clear_scratch(spark)
 
 
 if __name__ == "__main__":

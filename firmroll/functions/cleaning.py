@@ -62,8 +62,12 @@ def blank_if_null(value: Column) -> Column:
 
 
 def clean_field(name: str, value: Column | None = None) -> Column:
-    """The whole cleaning of one feed column, by its name; never NULL."""
-    out = trim_blanks(strip_marks(F.col(name) if value is None else value))
+    """The whole cleaning of one feed column, by its name; never NULL.
+
+    NULL becomes blank first, so that no later step needs code for it: the projection of the widest feed then stays
+    below the size up to which the JVM compiles a method.
+    """
+    out = trim_blanks(strip_marks(blank_if_null(F.col(name) if value is None else value)))
     if name in NAME_COLUMNS:
         out = drop_trailing_document(out)
     if name in DATE_COLUMNS:
@@ -72,7 +76,7 @@ def clean_field(name: str, value: Column | None = None) -> Column:
         out = decimal_point(out)
     if name in ACTIVITY_COLUMNS:
         out = activity_digits(out)
-    return blank_if_null(out).alias(name)
+    return out.alias(name)
 
 
 def clean_feed(raw: DataFrame, feed: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from firmroll.sources.schemas import TARGET_COLUMNS
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_named: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,8 +28,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below :func:`shared_dir`; the folder's own retention rule clears it."""
-    return f"{shared_dir(spark)}/firmroll/{label}-{uuid.uuid4().hex}"
+    """A fresh path below :func:`shared_dir`; :func:`clear_scratch` or the folder's own retention rule clears it."""
+    _named.append(f"{shared_dir(spark)}/firmroll/{label}-{uuid.uuid4().hex}")
+    return _named[-1]
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything that :func:`scratch_path` has named in this process; results that still read it are lost."""
+    while _named:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_named.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

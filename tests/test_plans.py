@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from firmroll.checks.fixtures import AS_OF, lookups, view
 from firmroll.fixed_values import FEED_COLUMNS, SIZE_OVERRIDE_TABLE
+from firmroll.functions.cleaning import clean_feed
 from firmroll.operators import lookups as lookup_module
 from firmroll.operators.numbering import range_bounds, range_number
 from firmroll.operators.partners import top_partners
@@ -169,3 +170,13 @@ def test_ranges_follow_the_order(spark, n):
     assert len(bounds) <= n - 1
     found = rows.withColumn("r", range_number(["a", "b"], bounds)).collect()
     assert all(r["r"] == sum(b <= (r["a"], r["b"]) for b in bounds) for r in found)
+
+
+@pytest.mark.parametrize("feed", sorted(FEED_COLUMNS))
+def test_cleaning_is_small_enough_to_be_compiled(spark, feed, tmp_path):
+    """Above 8,000 bytes of code the JVM only interprets a method."""
+    view(spark, SMALL, f"raw_{feed}").write.parquet(str(tmp_path / feed))
+    query = clean_feed(spark.read.parquet(str(tmp_path / feed)), feed)._jdf.queryExecution()
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    sizes = re.findall(r"maxMethodCodeSize:(\d+)", query.explainString(mode))
+    assert sizes and max(map(int, sizes)) < 8000

@@ -1,5 +1,6 @@
 import datetime as dt
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from firmroll.plans.enrich import Feeds
 from firmroll.plans.metrics import snapshot_metrics
 from firmroll.plans.publish import archive_name, publish_snapshot
 from firmroll.sources.feeds import write_processed
-from firmroll.sources.storage import read_snapshot, write_staging
+from firmroll.sources.storage import clear_scratch, materialise, read_snapshot, write_staging
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -156,16 +157,21 @@ def test_counts_of_hundreds_of_unknown_states(spark):
 def test_stage_command(spark, database, tmp_path, capsys):
     (tmp_path / "2026-03").mkdir()
     (tmp_path / "2026-03" / "Simples.csv").write_bytes(b'"1";"S";"20070701";"00000000";"N";"0";""\n')
-    setting = "spark.sql.codegen.hugeMethodLimit"
-    try:
-        main(["stage", "2026-03", "Simples", "--raw-root", str(tmp_path), "--database", database, "--buckets", "2"])
-    finally:
-        spark.conf.unset(setting)
+    main(["stage", "2026-03", "Simples", "--raw-root", str(tmp_path), "--database", database, "--buckets", "2"])
     table = capsys.readouterr().out.strip().splitlines()[-1]
     assert table == f"{database}.simples_202603"
     assert [tuple(row) for row in spark.table(table).collect()] == [("1", "S", "20070701", "", "N", "", "")]
 
 
+def test_scratch_is_cleared(spark):
+    kept = materialise(spark.range(3).toDF("x"), "kept")
+    assert kept.count() == 3
+    folder = Path(kept.inputFiles()[0].removeprefix("file:")).parent
+    assert folder.exists()
+    clear_scratch(spark)
+    assert not folder.exists()
+
+
 def test_command_line_arguments():
     args = parser().parse_args(["publish", "202603", "202602", "--table", "d.live", "--as-of", "2026-03-31"])
     assert (args.period, args.old_period, args.table, args.as_of) == ("202603", "202602", "d.live", dt.date(2026, 3, 31))
