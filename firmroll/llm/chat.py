@@ -140,30 +140,33 @@ def chained(matrices: Sequence[np.ndarray]) -> list[tuple[int | None, int]]:
     return list(zip([None, *ends[:-1]], ends, strict=True))
 
 
-def _same(a: object, b: object) -> bool:
-    return a == b or bool(pd.isna(a) and pd.isna(b))
-
-
-def _runs(batches: Iterator[pd.DataFrame], *keys: str) -> Iterator[pd.DataFrame]:
-    """Neighbouring rows with equal keys, nulls alike: what a sorted partition has of one conversation."""
+def _starts(rows: pd.DataFrame, keys: tuple[str, ...]) -> np.ndarray:
+    """Row numbers at which a run begins: neighbouring rows with equal keys, nulls alike, are one run."""
+    new = np.zeros(len(rows), bool)
+    new[0] = True
+    for key in keys:
+        column, before = rows[key], rows[key].shift()
+        new |= (column.ne(before) & ~(column.isna() & before.isna())).to_numpy()
+    return np.flatnonzero(new)
+
+
+def _whole_runs(batches: Iterator[pd.DataFrame], *keys: str) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """The rows of a sorted partition in frames that end with a run, and where runs begin in each."""
     held: list[pd.DataFrame] = []
     for batch in batches:
         if batch.empty:
             continue
-        new = np.zeros(len(batch), bool)
-        new[0] = True
-        for key in keys:
-            column, before = batch[key], batch[key].shift()
-            new |= (column.ne(before) & ~(column.isna() & before.isna())).to_numpy()
-        starts = [*np.flatnonzero(new), len(batch)]
-        for a, b in zip(starts, starts[1:], strict=False):
-            part = batch.iloc[a:b]
-            if held and not all(_same(part[k].iloc[0], held[0][k].iloc[0]) for k in keys):
-                yield pd.concat(held)
-                held = []
-            held.append(part)
+        last = int(_starts(batch, keys)[-1])
+        goes_on = bool(held) and len(_starts(pd.concat([held[-1].tail(1), batch.head(1)]), keys)) == 1
+        if last == 0 and (goes_on or not held):
+            held.append(batch)
+            continue
+        rows = pd.concat([*held, batch.iloc[:last]], ignore_index=True)
+        yield rows, _starts(rows, keys)
+        held = [batch.iloc[last:]]
     if held:
-        yield pd.concat(held)
+        rows = pd.concat(held, ignore_index=True)
+        yield rows, _starts(rows, keys)
 
 
 def recover_roles(messages: DataFrame, model: Model) -> DataFrame:
@@ -181,10 +184,13 @@ def recover_roles(messages: DataFrame, model: Model) -> DataFrame:
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, place = TaskContext.get().partitionId(), 0
-        for run in _runs(batches, "conv_id"):
-            matrix = [None] * (len(run) - 1) + [reduced(model, model.scores(run)).ravel().tolist()]
-            yield run.assign(part=part, place=range(place, place + len(run)), matrix=matrix).drop(columns="tie")
-            place += len(run)
+        for rows, starts in _whole_runs(batches, "conv_id"):
+            scores, ends = model.scores(rows), [*starts[1:], len(rows)]
+            matrix: list = [None] * len(rows)
+            for i, j in zip(starts, ends, strict=True):
+                matrix[j - 1] = reduced(model, scores[i:j]).ravel().tolist()
+            yield rows.assign(part=part, place=range(place, place + len(rows)), matrix=matrix).drop(columns="tie")
+            place += len(rows)
 
     sorted_rows = stored(dealt.mapInPandas(placed, f"{row}, part int, place long, matrix array<double>"), "chat")
     runs = sorted_rows.where(F.col("matrix").isNotNull()).select("conv_id", "part", "matrix")
@@ -210,14 +216,15 @@ def recover_roles(messages: DataFrame, model: Model) -> DataFrame:
 
     def traced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = np.array(model.roles, object)
-        for run in _runs(batches, "part", "conv_id"):
-            entry, last = run["entry"].iloc[0], run["last"].iloc[0]
-            known = not pd.isna(last)
-            path = trace(
-                model, model.scores(run),
-                int(entry) if known and entry >= 0 else None, int(last) if known else None,
-            )
-            yield run.assign(role=names[path])[["conv_id", "turn", "text", "marker", "role"]]
+        for rows, starts in _whole_runs(batches, "part", "conv_id"):
+            scores, ends = model.scores(rows), [*starts[1:], len(rows)]
+            entry, last = (rows[c].fillna(-1).astype(int).to_numpy() for c in ("entry", "last"))
+            path = np.zeros(len(rows), np.int64)
+            for i, j in zip(starts, ends, strict=True):
+                # -1: nothing comes before, or the end is free.
+                known = [None if x < 0 else int(x) for x in (entry[i], last[i])]
+                path[i:j] = trace(model, scores[i:j], *known)
+            yield rows.assign(role=names[path])[["conv_id", "turn", "text", "marker", "role"]]
 
     # A part is what one range partition held, so these are as even as those.
     again = joined.repartition("part").sortWithinPartitions("part", "place")

@@ -70,10 +70,12 @@ def test_one_conversation_over_many_partitions(spark, model):
     rows += [(None, i, rng.choice(texts)) for i in range(40)] + [(2, None, "x"), (2, 1, "y"), (2, 1, "y"), (2, 1, "z")]
     messages = spark.createDataFrame([(*r, "u", 1) for r in rows], "conv_id long, turn long, text string, role string, part int")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
         assert recovered(messages, model) == brute(spark, messages, model)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert recovered(messages, model) == brute(spark, messages, model)
     assert chat.recover_roles(messages.limit(0), model).count() == 0
     assert chat.format_chats(messages.limit(0)).count() == 0
