@@ -180,7 +180,9 @@ def recover_roles(messages: DataFrame, model: Model) -> DataFrame:
     order = ["conv_id", "turn", "tie"]
     tied = plain.withColumn("tie", F.xxhash64("text"))
     dealt = tied.repartitionByRange(*order).sortWithinPartitions(*order, "text")
-    row = f"conv_id {types['conv_id']}, turn {types['turn']}, text string, marker int, length int, lines int, question int"
+    # As text, keys of any kind pass through pandas unchanged, whole numbers beside nulls too.
+    dealt = dealt.withColumns({name: F.col(name).cast("string") for name in ("conv_id", "turn")})
+    row = "conv_id string, turn string, text string, marker int, length int, lines int, question int"
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, place = TaskContext.get().partitionId(), 0
@@ -207,7 +209,7 @@ def recover_roles(messages: DataFrame, model: Model) -> DataFrame:
         })
 
     fixed = few.groupBy("conv_id").applyInPandas(
-        ends, f"ends_conv {types['conv_id']}, ends_part int, entry int, last int"
+        ends, "ends_conv string, ends_part int, entry int, last int"
     )
     fixed = stored(fixed, "chat-ends")
     joined = sorted_rows.drop("matrix").join(
@@ -228,8 +230,8 @@ def recover_roles(messages: DataFrame, model: Model) -> DataFrame:
 
     # A part is what one range partition held, so these are as even as those.
     again = joined.repartition("part").sortWithinPartitions("part", "place")
-    out = f"conv_id {types['conv_id']}, turn {types['turn']}, text string, marker int, role string"
-    return again.mapInPandas(traced, out)
+    found = again.mapInPandas(traced, "conv_id string, turn string, text string, marker int, role string")
+    return found.withColumns({name: F.col(name).cast(types[name]) for name in ("conv_id", "turn")})
 
 
 def rendered(messages: DataFrame) -> DataFrame:

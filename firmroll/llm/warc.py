@@ -206,12 +206,11 @@ def write_warc(
 
     @F.pandas_udf("int")
     def part(ids: pd.Series) -> pd.Series:
-        known = ids.fillna(-(1 << 63)).astype("int64").to_numpy()
-        return pd.Series(np.searchsorted(bounds, known, side="right").astype(np.int32))
+        return pd.Series(np.searchsorted(bounds, ids.to_numpy(), side="right").astype(np.int32))
 
     system, path = fs.FileSystem.from_uri(root)
     system.create_dir(f"{path}/_temporary", recursive=True)
-    placed = classified(pages).withColumn("part", part("page_id"))
+    placed = classified(pages).withColumn("part", part(F.coalesce("page_id", F.lit(-(1 << 63)))))
     dealt = placed.repartitionById(len(bounds) + 1, "part").drop("part")
     ordered = dealt.sortWithinPartitions("page_id", "digest", "url")
     written = stored(ordered.mapInArrow(lambda b: _write(b, root, roll_bytes), MANIFEST), "warc-written")
@@ -277,7 +276,9 @@ def _read(batches: Iterator[pd.DataFrame], root: str) -> Iterator[pd.DataFrame]:
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
+    columns = dict(zip(names, zip(*rows, strict=True), strict=True))
+    whole = {"page_id", "refers_to"}  # nullable whole numbers, which pandas would make floats
+    return pd.DataFrame({n: pd.Series(c, dtype="Int64" if n in whole else None) for n, c in columns.items()})
 
 
 def read_warc(spark: SparkSession, root: str) -> DataFrame:

@@ -68,6 +68,7 @@ def test_one_conversation_over_many_partitions(spark, model):
     rows = [(1, i, rng.choice(texts)) for i in range(400)]
     rows += [(10 + i // 5, i % 5, rng.choice(texts)) for i in range(700)]
     rows += [(None, i, rng.choice(texts)) for i in range(40)] + [(2, None, "x"), (2, 1, "y"), (2, 1, "y"), (2, 1, "z")]
+    rows += [((1 << 62) + i % 2, (1 << 61) + i, "q?") for i in range(6)]
     messages = spark.createDataFrame([(*r, "u", 1) for r in rows], "conv_id long, turn long, text string, role string, part int")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")

@@ -38,6 +38,7 @@ ROWS = (
     + [(1000 + i, "http://a.org/é\r\nX: y", "same page " * 300) for i in range(150)]
     + [(2000, None, None), (2001, "", ""), (None, "u", "z" * 2000), (None, "u", "z" * 2000), (7, "u", "z" * 2000)]
     + [(3000, "v", "w" * 1500)] * 3
+    + [((1 << 62) + 1, "v", "q" * 1200), ((1 << 62) + 3, "v", "q" * 1200)]
     + [(4000, "v", "\r\n\r\nWARC/1.1\r\n" * 100), (4001, "v", "x" * 3_000_000)]
 )
 
