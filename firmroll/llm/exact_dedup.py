@@ -39,7 +39,8 @@ def _cut(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.Rec
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
     for batch in batches:
         rows, size = [], 0
-        for owner, doc_id, key, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+        for row in range(batch.num_rows):  # one text at a time: a batch may hold many megabytes
+            owner, doc_id, key, text = (column[row].as_py() for column in batch.columns)
             normal = text.encode().translate(None, _BLANKS)
             digest = hashlib.sha256(normal).hexdigest()
             count = max(1, -(-len(normal) // block_bytes))

@@ -130,7 +130,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, window: int, end
         return out
 
     for rows in batches:
-        for doc_id, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
+        for row in range(rows.num_rows):  # one text at a time: a batch may hold many megabytes
+            doc_id, text = rows.column(0)[row].as_py(), rows.column(1)[row].as_py()
             ids = np.array([*one.encode_tree(text), end_id], "<u4")
             for start in range(0, len(ids), window):
                 piece = ids[start : start + window]
@@ -167,6 +168,7 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, window: int = WINDOW, en
 
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("length", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    ranked = pieces.join(before, ["length", "task"])
+    # The counts grow with the tasks and compress well, so their file size says little: no broadcast.
+    ranked = pieces.join(before.hint("merge"), ["length", "task"])
     found = ranked.withColumn("p", placed(F.col("length"), F.col("before") + F.col("place")))
     return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "p.sequence_id", "p.offset")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,8 +69,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def _importable(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Let Python workers import this package wherever the session was started; clusters ship it with ``--py-files``."""
+    root = str(Path(__file__).resolve().parents[2])
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        environment = spark.sparkContext.environment
+        known = environment.get("PYTHONPATH", "").split(os.pathsep)
+        if root not in known:
+            environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    registered = {
         "pipeline": corpus_pipeline.run,
         "op1_secret_scan": op1_secret_scan,
         "op2_chat": op2_chat,
@@ -81,6 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_url_filter": op9_url_filter,
         "op10_quality_rules": op10_quality_rules,
     }
+    return {name: _importable(query) for name, query in registered.items()}
 
 
 def oracle_sql() -> dict[str, str]:
