@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmroll.llm.common import LOWER, UPPER
+from firmroll.llm.common import LOWER, UPPER, free_name
 
 # Fixed values: (host, path, verdict).
 RULES = (
@@ -93,11 +93,13 @@ def _hits(automaton: ahocorasick.Automaton, url: str) -> set[str]:
     return found
 
 
-def judge_urls(pages: DataFrame, url: str = "url", settings: UrlFilter | None = None) -> DataFrame:
-    """Add struct ``judged`` (host, path, rule, verdict, n_strict, n_soft) to every row; nothing is shuffled.
+def judge_urls(
+    pages: DataFrame, url: str = "url", settings: UrlFilter | None = None, out: str = "judged"
+) -> DataFrame:
+    """Add struct ``out`` (host, path, rule, verdict, n_strict, n_soft) to every row; nothing is shuffled.
 
     A null or empty url has an empty host and path, no rule and no hit, and is allowed. Repeated rows are judged
-    alike. A column named ``judged`` is replaced.
+    alike. A column that is named like ``out`` already is replaced.
     """
     settings = settings or UrlFilter()
 
@@ -117,10 +119,11 @@ def judge_urls(pages: DataFrame, url: str = "url", settings: UrlFilter | None =
                 rows.append((host, path, rule, verdict, n_strict, n_soft))
             yield pd.DataFrame(rows, columns=["host", "path", "rule", "verdict", "n_strict", "n_soft"])
 
-    return pages.withColumn("judged", judge(F.col(url)))
+    return pages.withColumn(out, judge(F.col(url)))
 
 
 def allowed_pages(pages: DataFrame, url: str = "url", settings: UrlFilter | None = None) -> DataFrame:
     """The rows of ``pages`` that are not blocked, with their own columns."""
-    judged = judge_urls(pages, url, settings)
-    return judged.where("judged.verdict = 'allow'").select(pages.columns)
+    out = free_name(pages, "judged")
+    judged = judge_urls(pages, url, settings, out)
+    return judged.where(F.col(f"{out}.verdict") == "allow").select(pages.columns)
