@@ -52,10 +52,10 @@ def rows_that_stay(docs: DataFrame, keys: DataFrame) -> DataFrame:
     Shuffled on the pair, which no two different documents share, so no key is hot but a row repeated in full; those
     copies are dropped before the shuffle.
     """
-    mark = f"_k_{uuid.uuid4().hex[:8]}"
+    mark, stay_id, stay_key = (f"_{name}_{uuid.uuid4().hex[:8]}" for name in ("mark", "id", "key"))
     keyed = docs.withColumn(mark, row_key(docs))
-    listed = keys.select(F.col("doc_id").alias("_stay_id"), F.col("row_key").alias("_stay_key"))
+    listed = keys.select(F.col("doc_id").alias(stay_id), F.col("row_key").alias(stay_key))
     found = keyed.join(
-        listed, F.col("doc_id").eqNullSafe(F.col("_stay_id")) & (F.col(mark) == F.col("_stay_key")), "left_semi"
+        listed, F.col("doc_id").eqNullSafe(F.col(stay_id)) & (F.col(mark) == F.col(stay_key)), "left_semi"
     )
     return found.dropDuplicates(["doc_id", mark]).select(docs.columns)

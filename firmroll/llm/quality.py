@@ -184,18 +184,18 @@ def judged(docs: DataFrame, limits: DataFrame, m: str = "m", out: str = "kept")
     beyond its limit adaptive execution splits the sources that hold many documents.
     """
     limits = limits.select(
-        F.col("lang").alias("_lang"), F.col("source").alias("_source"),
-        *[F.col(f"{side}_{k}").alias(f"_{side}_{k}") for k in FENCES for side in ("low", "high")],
+        F.col("lang").alias("__limit_lang"), F.col("source").alias("__limit_source"),
+        *[F.col(f"{side}_{k}").alias(f"__limit_{side}_{k}") for k in FENCES for side in ("low", "high")],
     )
     rows = docs.join(
         limits,
-        (F.coalesce(docs["lang"], F.lit("")) == F.col("_lang"))
-        & (F.coalesce(docs["source"], F.lit("")) == F.col("_source")),
+        (F.coalesce(docs["lang"], F.lit("")) == F.col("__limit_lang"))
+        & (F.coalesce(docs["source"], F.lit("")) == F.col("__limit_source")),
         "left",
     )
     fine = ~base_failed(m)
     for name, value in ratios(m).items():
-        for side, wrong in (("low", value < F.col(f"_low_{name}")), ("high", value > F.col(f"_high_{name}"))):
+        for side, wrong in (("low", value < F.col(f"__limit_low_{name}")), ("high", value > F.col(f"__limit_high_{name}"))):
             if FENCES[name][side == "high"] is not None:
                 fine = fine & ~F.coalesce(wrong, F.lit(False))
     return rows.select(*docs.columns, fine.alias(out))

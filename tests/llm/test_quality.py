@@ -39,7 +39,7 @@ def test_repeated_words(seed):
 
 def test_odd_rows(spark):
     long = " ".join(f"w{i}" for i in range(200_000))
-    schema = "doc_id long, text string, lang string, source string, n_chars long, m string, kept string, M2 int"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, m string, kept string, _lang int"
     rows = [
         (1, None, "en", "a", 0, "x", "y", 1),
         (2, "", None, None, 0, "x", "y", 1),
