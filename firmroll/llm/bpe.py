@@ -22,7 +22,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -64,9 +64,7 @@ class Codec:
     """One tokenizer file: encode, decode, and encode by tree concatenation."""
 
     def __init__(self, path: str) -> None:
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.path = path
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         to_byte = _byte_of_character()
@@ -88,6 +86,14 @@ class Codec:
                 "corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=words, special_tokens={}
             )
 
+    @cached_property
+    def library(self) -> Tokenizer:
+        """Loaded by the first text that needs it, since it takes as much memory as the rest of a worker."""
+        library = Tokenizer.from_file(self.path)
+        library.no_truncation()
+        library.no_padding()
+        return library
+
     def encode(self, text: str) -> list[int]:
         """A text in one go."""
         if self.engine is None or _UNUSUAL.search(text):
