@@ -1,7 +1,9 @@
 """Secret scan: fixed patterns, and a battery of randomness tests for strings that no pattern knows.
 
-Method: every run of at least ``MIN_LENGTH`` token characters outside the base spans is a candidate. Its encoding is
-inferred from the characters it has. Under "uniform over that alphabet" three tests are made: chi-squared on the
+Method: every run of at least ``MIN_LENGTH`` token characters outside the base spans is a candidate. '=' only pads its
+end: a run is cut at any other, so that the value of NAME=value is tested by itself. A part that mixes '+' or '/' with
+'_' or '-' fits no alphabet; its longest runs without the ones, without the others and without both are candidates
+instead, and of discoveries that lie within each other the longest counts. A candidate's encoding is inferred from the characters it has. Under "uniform over that alphabet" three tests are made: chi-squared on the
 symbols' counts, a runs test on the halves of the alphabet, and lag-1 serial correlation; Fisher's method combines them,
 and a candidate that they reject is no secret. Whether the rest are secrets is tested against "written by people": the
 number of equal pairs of characters, of which ordinary writing has many more, and the chance that ordinary writing of
@@ -73,6 +75,15 @@ def positions(text: str, pattern: str, found: str) -> str:
     )
 
 
+def _parts(run: str, pattern: str) -> str:
+    """SQL: the matches of ``pattern`` in a run (start, end, v), as such runs; the last one keeps the run's padding."""
+    found = f"regexp_extract_all({run}.v, {_sql_text(pattern)}, 0)"
+    return (
+        f"zip_with({positions(f'{run}.v', pattern, found)}, {found}, (part, w) -> struct({run}.start + part.start as start,"
+        f" if(part.end = length({run}.v), {run}.end, {run}.start + part.end) as end, w as v))"
+    )
+
+
 def _tail(z: str) -> str:
     """SQL: upper tail of the normal distribution, by a logistic curve in z and its cube."""
     return f"(1 / (1 + exp(least(1.5976 * ({z}) + 0.07056 * pow({z}, 3), 600))))"
@@ -108,12 +119,18 @@ def scanned(docs: DataFrame, t: str = "t", base: str = "base", candidates: str =
             f" p -> struct(p.start as start, p.order as order, p.end as end, '{kind}' as kind))"
         )
     df = df.withColumn(base, F.expr(f"array_sort(concat({', '.join(spans)}))"))
+    runs = (
+        f"zip_with({positions(t, TOKEN, '_secret_token')}, _secret_token,"
+        " (p, v) -> struct(p.start as start, p.end as end, rtrim('=', v) as v))"
+    )
+    df = df.withColumn("_secret_runs", F.expr(f"flatten(transform({runs}, r -> {_parts('r', '[^=]+')}))"))
+    cut = ", ".join(_parts("r", pattern) for pattern in ("[A-Za-z0-9+/]+", "[A-Za-z0-9_-]+", "[A-Za-z0-9]+"))
+    mixed = "r.v rlike '[+/]' and r.v rlike '[_-]'"
     df = df.withColumn(
         "_secret_c1",
         F.expr(
-            f"filter(zip_with({positions(t, TOKEN, '_secret_token')}, _secret_token, (p, v) -> struct(p.start as start, p.end as end,"
-            f" rtrim('=', v) as v)), c -> length(c.v) >= {MIN_LENGTH} and"
-            f" not exists({base}, b -> b.start < c.end and b.end > c.start))"
+            f"filter(flatten(transform(_secret_runs, r -> if({mixed}, array_distinct(concat({cut})), array(r)))),"
+            f" c -> length(c.v) >= {MIN_LENGTH} and not exists({base}, b -> b.start < c.end and b.end > c.start))"
         ),
     )
     alphabet, mass = _case(2).replace("when v ", "when c.v "), _case(3).replace("when v ", "when c.v ")
@@ -173,8 +190,13 @@ def all_spans(least: dict[int, int], base: str = "base", found: str = "found") -
     """Base spans and discoveries as (start, order, end, kind), sorted."""
     known = " ".join(f"when {k} then {v}" for k, v in sorted(least.items()))
     limit = f"case c.class {known} end" if known else "cast(null as int)"
+    judged = f"filter({found}, c -> c.random and coalesce(c.tenth >= {limit}, false))"
+    outermost = (
+        f"filter({judged}, c -> not exists({judged.replace('c.', 'd.').replace('c ->', 'd ->')}, d ->"
+        " d.start <= c.start and d.end >= c.end and d.end - d.start > c.end - c.start))"
+    )
     added = (
-        f"transform(filter({found}, c -> c.random and coalesce(c.tenth >= {limit}, false)),"
+        f"transform({outermost},"
         f" c -> struct(c.start as start, {len(KINDS)} as order, c.end as end, '{RANDOM}' as kind))"
     )
     return F.expr(f"array_sort(concat({base}, {added}))")

@@ -113,3 +113,39 @@ def test_masking(spark):
     assert got[4].text == "<SECRET>"
     assert secrets.masked(docs.limit(0)).count() == 0
     assert secrets.find_secrets(docs.limit(0)).count() == 0
+
+
+def test_values_after_a_name_and_mixed_separators(documents):
+    """NAME=value without blanks or quotes, padded values, and keys beside a name with the other separator."""
+    rng = random.Random(17)
+    full = string.ascii_letters + string.digits + "+/"
+    rows, planted = [], {}
+    for i in range(300):
+        text = " ".join(rng.choice(["plain", "words", "counterrevolutionary", "usr/share/application/data"]) for _ in range(40))
+        if i % 3 == 0:
+            key = "".join(rng.choice(full) for _ in range(62)) + "=="
+            before, after = [
+                ("AWS_SECRET_ACCESS_KEY=", " end"), ("Name=x;AccountKey=", ";"), ("?sv=1&sig=", "&se=2"), ("/my_app/", " z"),
+            ][i // 3 % 4]
+            text += f" é {before}"
+            # The longest run of one alphabet may take the end of the path along.
+            start = len(text) - (len("app/") if before == "/my_app/" else 0)
+            planted[i] = (start, len(text) + len(key))
+            text += f"{key}{after}"
+        rows.append((i, text))
+    docs = documents(rows)
+    found = {r.doc_id: r.spans.split(",") for r in secrets.find_secrets(docs).collect()}
+    hit = [f"random:{a}:{b}" in found[i] for i, (a, b) in planted.items()]
+    assert sum(hit) >= 0.9 * len(hit)
+    assert not any("random" in s for i, spans in found.items() if i not in planted for s in spans)
+    left = {r.doc_id: r.text for r in secrets.masked(docs).collect()}
+    texts = dict(rows)
+    assert sum(texts[i][a:b] not in left[i] for i, (a, b) in planted.items()) >= sum(hit)
+
+
+def test_parts_of_a_run(documents):
+    a, b = "Zk3vQ9xLm2Wt7RbYc5Hd8", "pG4nJ6sKf1TzVw0UeXo9B"
+    text = f"é x={a}=={b}== /a_b/{a} ={b} {'=' * 30} {a}+/{b}_-"
+    row = secrets.scanned(documents([(1, text)])).select("found").first()
+    at = [text[c["start"] : c["end"]] for c in row.found]
+    assert at == [a, f"{b}==", f"b/{a}", a, b, f"{a}+/{b}", a, f"{b}_-", b]
