@@ -42,8 +42,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def row_key(df: DataFrame) -> Column:
-    """Identifies a row by content: rows that differ in no column are interchangeable."""
-    return F.xxhash64(*[F.col(f"`{name}`") for name in df.columns])
+    """Identifies a row by content: rows that differ in no column are interchangeable.
+
+    The hash passes over nulls, so each column goes in with a flag for them.
+    """
+    columns = [F.col(f"`{name}`") for name in df.columns]
+    return F.xxhash64(*[part for column in columns for part in (column, column.isNull())])
 
 
 def rows_that_stay(docs: DataFrame, keys: DataFrame) -> DataFrame:

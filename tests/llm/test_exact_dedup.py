@@ -56,3 +56,11 @@ def test_long_text_columns_and_empty_table(spark):
     assert exact_dedup.without_copies(docs).columns == docs.columns
     assert exact_dedup.exact_duplicates(docs.limit(0)).count() == 0
     assert exact_dedup.without_copies(docs.unionByName(docs)).count() == 2
+
+
+def test_place_of_a_null_counts(spark):
+    from firmroll.llm.common import row_key, rows_that_stay
+
+    rows = [(1, "x", None), (1, None, "x"), (None, "x", None), (None, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(rows_that_stay(docs, docs.withColumn("row_key", row_key(docs))).collect(), key=str) == sorted(rows, key=str)
