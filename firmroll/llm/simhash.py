@@ -12,13 +12,6 @@ Only distinct fingerprints are keyed. Buckets of up to ``BUCKET`` fingerprints a
 members of larger ones are linked exactly and without pairs: each is listed under itself and its 64 neighbours at one
 bit; any two fingerprints at distance 2 or less meet at a neighbour, and all that meet are at distance 2 or less, so
 each place links its members to the least one.
-
-The pipeline's stage is not bound to op3's three words and two bits: its near copies share ``SIMILARITY`` or more of
-their sets of ``STAGE_SHINGLE``-word shingles (Jaccard), which moves some ten bits of a fingerprint. ``near_copies``
-keys every distinct set by ``BANDS`` independent fingerprints, each made of ``BAND_ROWS`` minimal hashes; a pair at
-similarity 0.8 shares none of them once in 14,000 times. Every candidate pair is verified on its shingle sets. First all
-members of a bucket are compared with its least one; then, in buckets that still hold several components, all pairs
-across components are, or in those of more than ``BUCKET`` sets each member with ``LEADERS`` others.
 """
 
 from __future__ import annotations
@@ -29,7 +22,6 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,11 +37,6 @@ SEGMENTS = ((42, 22), (21, 21), (0, 21))  # (shift, bits)
 GOLAY_BITS, GOLAY_CHECK = 23, 11
 GOLAY_POLYNOMIAL = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1
 _CHUNK = 1 << 16
-# Near copies of the pipeline's stage.
-STAGE_SHINGLE, SIMILARITY = 5, 0.8
-BANDS, BAND_ROWS, LEADERS = 24, 5, 8
-_HASHES = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * BAND_ROWS), np.uint64)
-_FACTORS, _TERMS = _HASHES[0] | np.uint64(1), _HASHES[1]
 
 
 def shingle_hashes(text: str, shingle: int) -> Iterator[np.ndarray]:
@@ -197,119 +184,10 @@ def _with_components(rows: DataFrame, prints: DataFrame, roots: DataFrame) -> Da
     )
 
 
-def shingle_set(text: str, shingle: int = STAGE_SHINGLE) -> np.ndarray:
-    """Distinct hashes of the text's shingles, sorted."""
-    parts = [h.astype(np.uint64) for h in shingle_hashes(text, shingle)]
-    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-
-
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of two sorted sets; 1 if both are empty."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    every = len(a) + len(b) - both
-    return both / every if every else 1.0
-
-
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """One signed key per band, none for an empty set."""
-    if not len(shingles):
-        return np.zeros(0, np.int64)
-    least = np.full(len(_FACTORS), (1 << 64) - 1, np.uint64)
-    for i in range(0, len(shingles), 1024):
-        least = np.minimum(least, (shingles[i : i + 1024, None] * _FACTORS + _TERMS).min(axis=0))
-    bands = least.reshape(BANDS, BAND_ROWS)
-    return np.array([xxhash.xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(bands)], np.uint64).view(np.int64)
-
-
-def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
-    """The pairs (u, v) whose texts' shingle sets are at least that similar. Many pairs may share one v."""
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = [
-                similarity(*(shingle_set(batch.column(c)[row].as_py(), shingle) for c in "ab")) >= least
-                for row in range(batch.num_rows)
-            ]  # one pair at a time: a batch may hold many megabytes
-            yield batch.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
-
-    first = pairs.join(texts.select(F.col("print").alias("v"), F.col("text").alias("b")), "v")
-    both = first.join(texts.select(F.col("print").alias("u"), F.col("text").alias("a")), "u")
-    return both.select("u", "v", "a", "b").mapInArrow(verify, "u long, v long")
-
-
-def near_copies(
-    docs: DataFrame, shingle: int = STAGE_SHINGLE, least: float = SIMILARITY, bucket: int = BUCKET
-) -> DataFrame:
-    """Every row with its component of near copies: doc_id, row_key, print, component_id, keep_id, keep_key.
+def without_near_copies(docs: DataFrame) -> DataFrame:
+    """One row per component of :func:`near_duplicates`, with its own columns; nulls, empties and ties as there.
 
-    ``print`` names the shingle set. Names and odd texts are as in :func:`near_duplicates`; texts without words are
-    copies of each other.
+    Of rows that are equal in all columns one stays. Texts of any length pass; an empty table stays empty.
     """
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints, keys = np.zeros(batch.num_rows, np.uint64), []
-            for row in range(batch.num_rows):  # one text at a time: a batch may hold many megabytes
-                shingles = shingle_set(batch.column("text")[row].as_py(), shingle)
-                prints[row] = xxhash.xxh64_intdigest(shingles.tobytes(), SEED)
-                keys.append(band_keys(shingles))
-            added = [pa.array(prints.view(np.int64)), pa.array(keys, pa.list_(pa.int64()))]
-            own = ["doc_id", "row_key"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), *added], [*own, "print", "keys"])
-
-    named = docs.select(F.col("doc_id").cast("long"), row_key(docs).alias("row_key"), text_or_empty().alias("text"))
-    schema = "doc_id long, row_key long, print long, keys array<long>"
-    rows = stored(named.mapInArrow(keyed, schema), "shingle-sets")
-    prints = stored(rows.groupBy("print").agg(_best().alias("best"), F.first("keys").alias("keys")), "prints")
-    members = prints.select("print", F.explode("keys").alias("key"))
-    buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("print").alias("v")).where("n > 1")
-    met = stored(members.join(stored(buckets, "buckets"), "key"), "members")
-
-    wanted = prints.join(met.select("print").distinct(), "print").select(
-        "print", F.col("best.doc_id").alias("id"), F.col("best.row_key").alias("row_key")
-    )
-    texts = stored(
-        named.join(wanted, (named["doc_id"].eqNullSafe(wanted["id"])) & (named["row_key"] == wanted["row_key"]))
-        .select("print", "text").dropDuplicates(["print"]),
-        "texts",
-    )
-    stars = stored(met.where("print != v").select(F.col("print").alias("u"), "v").distinct(), "stars")
-    links = stored(_similar(stars, texts, shingle, least), "links")
-
-    roots = stored(components(links), "roots")
-    apart = met.join(roots, F.col("print") == F.col("node"), "left").select(
-        "key", "n", "print", F.coalesce("root", "print").alias("root")
-    )
-    apart = stored(apart, "apart")
-    several = stored(
-        apart.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key"),
-        "several",
-    )
-    apart = stored(apart.join(several, "key", "left_semi"), "apart")
-    listed = apart.where(F.col("n") <= bucket).groupBy("key").agg(F.collect_list(F.struct("print", "root")).alias("p"))
-    across = F.expr(
-        "flatten(transform(p, a -> transform(filter(p, b -> b.print < a.print and b.root != a.root),"
-        " b -> struct(a.print as u, b.print as v))))"
-    )
-    pairs = listed.select(F.explode(across).alias("e")).select("e.u", "e.v")
-    crowded = apart.where(F.col("n") > bucket)
-    place = F.xxhash64("key", "print")
-    leaders = stored(
-        crowded.groupBy("key", F.pmod(place, F.lit(LEADERS)).alias("slot"))
-        .agg(F.min(F.struct(place.alias("place"), "print", "root")).alias("leader"))
-        .select("key", "leader"),
-        "leaders",
-    )
-    led = crowded.join(leaders, "key").where("root != leader.root").select(
-        F.greatest("print", "leader.print").alias("u"), F.least("print", "leader.print").alias("v")
-    )
-    rest = stored(pairs.unionByName(led).distinct().join(stars, ["u", "v"], "left_anti"), "pairs")
-    more = stored(_similar(rest, texts, shingle, least), "links")
-    roots = stored(components(links.unionByName(more)), "roots")
-    return _with_components(rows, prints, roots)
-
-
-def without_near_copies(docs: DataFrame) -> DataFrame:
-    """One row per component of near copies, with its own columns."""
-    kept = near_copies(docs).select(F.col("keep_id").alias("doc_id"), F.col("keep_key").alias("row_key"))
+    kept = near_duplicates(docs).select(F.col("keep_id").alias("doc_id"), F.col("keep_key").alias("row_key"))
     return rows_that_stay(docs, kept.distinct())

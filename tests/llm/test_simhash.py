@@ -108,64 +108,3 @@ def test_stage_columns_and_empty_table(spark):
     assert kept.columns == docs.columns
     assert sorted(kept.collect(), key=str) == sorted([(1, "a b c d", "x", 1), (None, "q r s", "z", 2)], key=str)
     assert simhash.without_near_copies(docs.limit(0)).count() == 0
-
-
-def plain_sets(texts):
-    """Sets of five-word shingles."""
-    out = []
-    for text in texts:
-        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
-        words = re.findall(r"[^\x20\x09-\x0D]+", lower)
-        out.append({" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
-    return out
-
-
-def pairs_at(sets, least):
-    """All pairs (i, j), i < j, of a Jaccard similarity of at least ``least``, by comparing all pairs."""
-    return {
-        (i, j)
-        for j, b in enumerate(sets)
-        for i, a in enumerate(sets[:j])
-        if min(len(a), len(b)) >= least * max(len(a), len(b)) and len(a & b) >= least * len(a | b)
-    }
-
-
-def linked(n, pairs):
-    label = list(range(n))
-    for _ in range(n):
-        before = list(label)
-        for i, j in pairs:
-            label[i] = label[j] = min(label[i], label[j])
-        if label == before:
-            break
-    return label
-
-
-@pytest.mark.parametrize("bucket", [2, 32])
-def test_near_copies_against_brute_force(spark, sf_dir, bucket):
-    """Recall and precision of the stage's components over all pairs of the whole table."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    rows = sorted((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect())
-    label = linked(len(rows), pairs_at(plain_sets(t for _, t in rows), 0.8))
-    wanted = {(d, rows[root][0]) for (d, _), root in zip(rows, label, strict=True)}
-    got = {(r.doc_id, r.component_id) for r in simhash.near_copies(docs, bucket=bucket).collect()}
-    assert got == wanted
-    copies = {d for d, root in wanted if d != root}
-    assert copies and {r.doc_id for r in simhash.without_near_copies(docs).collect()} == {d for d, _ in rows} - copies
-
-
-def test_stage_finds_copies_that_move_many_bits(documents):
-    rng = random.Random(9)
-    base = [f"w{rng.randrange(5000)}" for _ in range(300)]
-    rows = [(1, " ".join(base))]
-    for i in range(2, 60):
-        words = list(base)
-        for at in rng.sample(range(0, 300, 10), 3):
-            words[at] = f"x{i}"
-        rows.append((i, " ".join(words)))
-    rows += [(100 + i, " ".join(base[: 150 + i] + [f"y{i}_{j}" for j in range(150)])) for i in range(3)]
-    prints = [simhash.fingerprint(t) for _, t in rows]
-    assert sum((p ^ prints[0]).bit_count() > 2 for p in prints[1:59]) > 20
-    label = linked(len(rows), pairs_at(plain_sets(t for _, t in rows), 0.8))
-    kept = {r.doc_id for r in simhash.without_near_copies(documents(rows)).collect()}
-    assert kept == {rows[i][0] for i, root in enumerate(label) if i == root} == {1, 100, 101, 102}
