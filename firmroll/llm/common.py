@@ -53,13 +53,11 @@ def row_key(df: DataFrame) -> Column:
 def rows_that_stay(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose ``(doc_id, row_key)`` is in ``keys``; of rows equal in all columns one stays.
 
-    Shuffled on the pair, which no two different documents share, so no key is hot but a row repeated in full; those
-    copies are dropped before the shuffle.
+    Shuffled once, on the pair, which no two different documents share, so no key is hot but a row repeated in full;
+    those copies are dropped before the shuffle. A null doc_id counts as 0 there: ``row_key`` tells it from one.
     """
-    mark, stay_id, stay_key = (f"_{name}_{uuid.uuid4().hex[:8]}" for name in ("mark", "id", "key"))
-    keyed = docs.withColumn(mark, row_key(docs))
-    listed = keys.select(F.col("doc_id").alias(stay_id), F.col("row_key").alias(stay_key))
-    found = keyed.join(
-        listed, F.col("doc_id").eqNullSafe(F.col(stay_id)) & (F.col(mark) == F.col(stay_key)), "left_semi"
-    )
-    return found.dropDuplicates(["doc_id", mark]).select(docs.columns)
+    mark, own = (f"_{name}_{uuid.uuid4().hex[:8]}" for name in ("mark", "id"))
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
+    keyed = docs.withColumn(mark, row_key(docs)).withColumn(own, number)
+    listed = keys.select(number.alias(own), F.col("row_key").alias(mark))
+    return keyed.join(listed, [own, mark], "left_semi").dropDuplicates([own, mark]).select(docs.columns)
