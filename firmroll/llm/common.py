@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from firmroll.sources.storage import scratch_path
 # The six blanks that separate words, and the letters whose case is ignored.
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+BATCH_ROWS = 1000
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -31,13 +34,26 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Batches of at most ``rows`` rows to Python workers while a job runs: texts are long, workers many."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a narrow intermediate result to the shared folder and read it back.
 
     It cuts lineage, survives the loss of executors, and lets a job that runs twice see the same rows.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
