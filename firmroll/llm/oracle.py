@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from firmroll.llm import quality, secrets, url_filter
+from firmroll.llm import quality, search, secrets, url_filter, vector_codes
+from firmroll.llm.common import LOWER, UPPER
 
 BLANK = r"[\x20\x09-\x0D]"
 NOT_BLANK = r"[^\x20\x09-\x0D]"
@@ -196,6 +197,62 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from m"""
 
 
+def op12_ranked_search() -> str:
+    """Every document of every term, without an index."""
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+    def terms(table: str, key: str) -> str:
+        lower = f"translate(text, '{UPPER}', '{LOWER}')"
+        return f"""(select rid, {key}, unnest(regexp_extract_all({lower}, '{term}')) as term
+ from (select row_number() over () as rid, {key}, text from {table}))"""
+
+    return f"""
+with tf as (select rid, doc_id, term, count(*)::bigint as tf from {terms("documents", "doc_id")} group by all),
+lengths as (select rid, sum(tf)::bigint as n from tf group by rid),
+size as (select count(*)::bigint as docs, sum(n)::bigint as total from lengths),
+weights as (select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+ from tf, size group by term, docs),
+asked as (select distinct rid as iid, item_id, term from {terms("benchmark", "item_id")}),
+scored as (select iid, item_id, tf.rid, doc_id,
+  sum(w * (({search.SCALE} * tf) // ({search.TF_STEP} * tf + {search.LENGTH_STEP}
+   * (100 - {search.LENGTH_SHARE} + ({search.LENGTH_SHARE} * n * docs) // total))))::bigint as score
+ from asked join weights using (term) join tf using (term) join lengths on lengths.rid = tf.rid, size
+ group by iid, item_id, tf.rid, doc_id),
+placed as (select *, row_number() over (partition by iid order by score desc, doc_id nulls last) as rank
+ from scored where score > 0)
+select item_id, rank::int as rank, doc_id, score from placed where rank <= {search.PLACES}"""
+
+
+def op13_vector_codes() -> str:
+    """All distances of all parts to all entries, round by round."""
+    parts, entries = vector_codes.PARTS, vector_codes.ENTRIES
+
+    def assigned(n: int) -> str:
+        return f"""near{n} as (select rid, part, min((d, entry)) as best from (
+  select rid, p.part, entry, sum((p.x - b.x) * (p.x - b.x))::bigint as d
+  from pieces p join books{n} b on b.part = p.part and b.pos = p.pos group by rid, p.part, entry) group by rid, part)"""
+
+    rounds = "".join(
+        f""", {assigned(n)},
+books{n + 1} as (select b.part, b.entry, b.pos, coalesce(m.x, b.x) as x from books{n} b left join (
+  select p.part, best[2] as entry, p.pos, floor(sum(p.x)::double / count(*))::bigint as x
+  from pieces p join near{n} using (rid, part) group by all) m using (part, entry, pos))"""
+        for n in range(vector_codes.ROUNDS)
+    )
+    last = vector_codes.ROUNDS
+    return f"""
+with kept as (select row_number() over (order by vec_id, embedding) as rid, vec_id, label, embedding, len(embedding) // {parts} as width
+ from embeddings where embedding is not null
+ and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pieces as (select rid, (i - 1) // width as part, (i - 1) % width as pos, floor({vector_codes.SCALE} * x::double)::bigint as x
+ from (select rid, width, unnest(embedding) as x, unnest(range(1, len(embedding) + 1)) as i from kept)),
+books0 as (select part, (rid - 1)::bigint as entry, pos, x from pieces where rid <= {entries}){rounds}, {assigned(last)},
+digest as (select sha256(string_agg(x::varchar, ',' order by part, entry, pos)) as codebooks_sha256 from books{last}),
+coded as (select vec_id, label, string_agg(printf('%02x', best[2]), '' order by part) as code, sum(best[1])::bigint as error
+ from near{last} join kept using (rid) group by rid, vec_id, label)
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, codebooks_sha256 from coded, digest"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_secret_scan": op1_secret_scan(),
@@ -203,4 +260,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_warc": op8_warc(),
         "op9_url_filter": op9_url_filter(),
         "op10_quality_rules": op10_quality_rules(),
+        "op12_ranked_search": op12_ranked_search(),
+        "op13_vector_codes": op13_vector_codes(),
     }

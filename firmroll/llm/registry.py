@@ -17,10 +17,12 @@ from firmroll.llm.common import table
 from firmroll.llm.exact_dedup import exact_duplicates
 from firmroll.llm.packing import pack
 from firmroll.llm.quality import quality_rules
+from firmroll.llm.search import ranked
 from firmroll.llm.secrets import find_secrets
 from firmroll.llm.sharding import shard
 from firmroll.llm.simhash import near_duplicates
 from firmroll.llm.url_filter import judge_urls
+from firmroll.llm.vector_codes import compress
 from firmroll.llm.warc import read_warc, write_warc
 from firmroll.sources.storage import scratch_path
 
@@ -69,6 +71,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(table(spark, sf_dir, "embeddings"))
+
+
 def _importable(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Let Python workers import this package wherever the session was started; clusters ship it with ``--py-files``."""
     root = str(Path(__file__).resolve().parents[2])
@@ -96,6 +106,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": op8_warc,
         "op9_url_filter": op9_url_filter,
         "op10_quality_rules": op10_quality_rules,
+        "op12_ranked_search": op12_ranked_search,
+        "op13_vector_codes": op13_vector_codes,
     }
     return {name: _importable(query) for name, query in registered.items()}
 
