@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from firmroll.llm import quality, search, secrets, url_filter, vector_codes
+from firmroll.llm import language, quality, search, secrets, url_filter, vector_codes
 from firmroll.llm.common import LOWER, UPPER
 
 BLANK = r"[\x20\x09-\x0D]"
@@ -197,6 +197,48 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from m"""
 
 
+def op11_language_id() -> str:
+    """All labelled rows teach, as they do while no label has more rows than its part of the sample."""
+    sizes = ", ".join(map(str, range(1, language.LONGEST + 1)))
+    polynomial = 0xEDB88320
+    step = f"case when c % 2 = 1 then xor(c // 2, {polynomial}) else c // 2 end"
+    return f"""
+with recursive bits as (select b::bigint as b, b::bigint as c, 0 as i from range(256) t(b)
+ union all select b, {step}, i + 1 from bits where i < 8),
+crc as (select list(c order by b) as codes from bits where i = 8),
+d as (select row_number() over () as rid, doc_id, lang, text, case when doc_id is not null then xor(list_reduce(
+  list_transform(string_split(doc_id::varchar, ''), lambda s: ord(s)::bigint),
+  lambda c, s: xor(c // 256, codes[xor(c % 256, s) + 1]), 4294967295::bigint), 4294967295::bigint) % 4 end as part
+ from documents, crc),
+words as (select rid, w, count(*)::bigint as n
+ from (select rid, unnest(regexp_extract_all(lower(text), '{language.WORD}')) as w from d) group by all),
+taught as (select lang, w, sum(n)::bigint as n from words join d using (rid) where lang is not null and part <> 2 group by all),
+grams as (select * from (select w, size, unnest(list_transform(range(1, length(w) + 4 - size), lambda i: substr(' ' || w || ' ', i, size))) as g
+ from (select distinct w from words), (select unnest([{sizes}]) as size) where size <= length(w) + 2) where g <> ' '),
+counts as (select lang, 0 as size, w as g, n from taught
+ union all select lang, size, g, sum(n)::bigint from taught join grams using (w) group by all),
+langs as (select lang, (select {language.MODEL_ENTRIES} // (count(distinct lang) * {language.LONGEST + 1})
+  from d where lang is not null and text is not null and part <> 2)::bigint as most
+ from d where lang is not null and text is not null and part <> 2 group by lang),
+totals as (select lang, size, sum(n)::bigint as total from counts group by all),
+model as (select lang, size, g, round(-{language.UNIT} * ln(n::double / total))::bigint as cost
+ from counts join totals using (lang, size) join langs using (lang) where n * most >= total),
+known as (select distinct size, g from model),
+best as (select w, size, g from grams join known using (size, g)
+ qualify size = max(size) over (partition by w) and not exists (select 1 from known k where k.size = 0 and k.g = w)),
+pieces as (select w, 0 as size, w as g from (select distinct w from words) join known k on k.size = 0 and k.g = w
+ union all select w, size, g from best),
+costs as (select w, l.lang, sum(coalesce(m.cost, round({language.UNIT} * ln(most))::bigint + {language.UNKNOWN}))::bigint // count(*) as cost
+ from pieces p cross join langs l left join model m on m.size = p.size and m.g = p.g and m.lang = l.lang group by all),
+scored as (select rid, l.lang, coalesce(sum(n * cost), 0)::bigint as total
+ from (select distinct rid from words) cross join langs l left join (select rid, n, costs.* from words join costs using (w)) c
+  using (rid, lang) group by all),
+chosen as (select rid, min((total, lang)) as best, list(total) as totals from scored group by rid)
+select doc_id, coalesce(part = 2, false) as held_out, coalesce(best[2], '{language.UNDETERMINED}') as lang_pred,
+ coalesce(round(1 / list_sum(list_transform(totals, lambda t: exp((best[1] - t)::double / {language.UNIT}))), 6), 0) as score
+from d left join chosen using (rid)"""
+
+
 def op12_ranked_search() -> str:
     """Every document of every term, without an index."""
     term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -260,6 +302,7 @@ def oracle_sql() -> dict[str, str]:
         "op8_warc": op8_warc(),
         "op9_url_filter": op9_url_filter(),
         "op10_quality_rules": op10_quality_rules(),
+        "op11_language_id": op11_language_id(),
         "op12_ranked_search": op12_ranked_search(),
         "op13_vector_codes": op13_vector_codes(),
     }

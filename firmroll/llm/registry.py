@@ -15,6 +15,7 @@ from firmroll.llm.bpe import round_trip
 from firmroll.llm.chat import format_chats
 from firmroll.llm.common import table
 from firmroll.llm.exact_dedup import exact_duplicates
+from firmroll.llm.language import identify
 from firmroll.llm.packing import pack
 from firmroll.llm.quality import quality_rules
 from firmroll.llm.search import ranked
@@ -71,6 +72,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
@@ -106,6 +111,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": op8_warc,
         "op9_url_filter": op9_url_filter,
         "op10_quality_rules": op10_quality_rules,
+        "op11_language_id": op11_language_id,
         "op12_ranked_search": op12_ranked_search,
         "op13_vector_codes": op13_vector_codes,
     }
