@@ -127,6 +127,24 @@ def _quoted(name: str) -> str:
     return f"chr(34) || {name} || chr(34)"
 
 
+_DAY = "replace(cast(cast(o_orderdate as date) as string),'-','')"
+_Y, _M, _D = f"substr({_DAY},1,4)", f"substr({_DAY},5,2)", f"substr({_DAY},7,2)"
+_TIME = "lpad(cast(o_orderkey%24 as string),2,'0') || ':' || lpad(cast(o_orderkey%60 as string),2,'0')"
+_MONTH = f"substr('JanFebMarAprMayJunJulAugSepOctNovDec',3*cast({_M} as int)-2,3)"
+# Order dates in one shape per order, some of them no dates at all.
+VIEWS["datas"] = f"""
+select o_orderkey, case o_orderkey%20
+ when 0 then {_DAY} when 1 then {_Y} || '-' || {_M} || '-' || {_D} when 2 then {_Y} || '/' || {_M} || '/' || {_D}
+ when 3 then {_D} || '/' || {_M} || '/' || {_Y} when 4 then {_D} || '-' || {_M} || '-' || {_Y}
+ when 5 then {_D} || '.' || {_M} || '.' || {_Y} when 6 then {_D} || '/' || {_M} || '/' || substr({_Y},3,2)
+ when 7 then {_Y} || '-' || {_M} || '-' || {_D} || ' ' || {_TIME} || ':07'
+ when 8 then {_Y} || '-' || {_M} || '-' || {_D} || 'T' || {_TIME} || ':07' when 9 then {_D} || '/' || {_M} || '/' || {_Y} || ' ' || {_TIME}
+ when 10 then {_Y} || '-' || {_M} when 11 then {_Y} when 12 then {_D} || ' ' || {_MONTH} || ' ' || {_Y}
+ when 13 then {_DAY} || '101112' when 14 then ' ' || {_DAY} || ' ' when 15 then {_Y} || '-13-' || {_D}
+ when 16 then '30/02/' || {_Y} when 17 then '' when 18 then cast(null as string) else 'sem data' end as data
+from {{orders}}"""
+
+
 def _dirty(feed: str, special: dict[str, str]) -> str:
     """The feed as its raw file has it: every field quoted, some with blanks, backslashes or nothing at all."""
     columns = ", ".join(f"{special.get(name, _quoted(name))} as {name}" for name in FEED_COLUMNS[feed])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import asdict
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from firmroll.checks.fixtures import AS_OF, lookups, view, views
 from firmroll.fixed_values import FEED_COLUMNS, LOOKUP_COLUMNS, NO_QUOTE, PIVOT_SOURCES, SIZE_OVERRIDE_TABLE
 from firmroll.functions import cleaning, derive
+from firmroll.functions.dates import parse_date_any
 from firmroll.operators.lookups import Lookup, describe, measure_lookups
 from firmroll.operators.partners import partner_rank, top_partners
 from firmroll.operators.skew import left_join_all
@@ -25,7 +27,7 @@ from firmroll.plans.enrich import (
     override_side,
 )
 from firmroll.plans.ingest import ingest_feed
-from firmroll.plans.publish import publish_snapshot
+from firmroll.plans.publish import Publication, journal_of, publish_snapshot, recover, snapshot_root
 from firmroll.sources.feeds import read_processed, write_processed
 from firmroll.sources.listing import compact_period, latest_period, latest_period_in_pages
 from firmroll.sources.storage import read_snapshot, scratch_path, staging_name, write_staging
@@ -182,25 +184,55 @@ def scratch_database(spark: SparkSession) -> str:
     return name
 
 
+def failed_with(message: str, run: Callable[[], object]) -> None:
+    try:
+        run()
+    except Exception as error:  # Spark wraps the error of a task in more than one type
+        if message not in str(error):
+            raise
+    else:
+        raise AssertionError(f"should have failed with: {message}")
+
+
 def staging_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = staging_name("estabelecimentos", "2003-06", scratch_database(spark))
     write_staging(clean("estabelecimentos")(spark, sf_dir), table, buckets=8)
     return spark.table(table)
 
 
+def staging_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage a feed, fail while staging it again, read the staging table."""
+    table, rows = staging_name("estabelecimentos", "2003-06", scratch_database(spark)), clean("estabelecimentos")(spark, sf_dir)
+    write_staging(rows, table, buckets=8)
+    broken = F.when(F.col("uf") == "SP", F.raise_error(F.lit("no such feed"))).otherwise(F.col("bairro"))
+    failed_with("no such feed", lambda: write_staging(rows.withColumn("bairro", broken.cast("string")), table, buckets=8))
+    return spark.table(table)
+
+
+def publish_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish two months, stop a third between its steps, clear up, read the live table and the archive."""
+    rows = active_establishments(view(spark, sf_dir, "estabelecimentos"))
+    rows, live = rows.withColumn("uf_geo", derive.uf_label(F.col("uf"))), f"{scratch_database(spark)}.live"
+    publish_snapshot(rows, live, "2003-05")
+    publish_snapshot(rows, live, "2003-06", old_period="2003-05")
+    stopped = Publication.planned(spark, live, "2003-07", "2003-05", snapshot_root(spark, live))
+    journal_of(spark, live).write(asdict(stopped))
+    stopped.write(rows.withColumn("cnpj_dv", F.lit("xx")))
+    stopped.keep_previous(spark)
+    recover(spark, live)
+    columns = [KEY, "cnpj_ordem", "cnpj_dv", "uf"]
+    both = [spark.table(name).select(F.lit(name.split(".")[1]).alias("tabela"), *columns) for name in (live, stopped.archive)]
+    return both[0].unionByName(both[1])
+
+
 def publish_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish a month, fail while publishing the next one over it, read the live table."""
     rows = active_establishments(view(spark, sf_dir, "estabelecimentos"))
     rows, live = rows.withColumn("uf_geo", derive.uf_label(F.col("uf"))), f"{scratch_database(spark)}.live"
     publish_snapshot(rows, live, "2003-05")
     broken = F.when(F.col("uf") == "SP", F.raise_error(F.lit("no such month"))).otherwise(F.col("bairro"))
-    try:
-        publish_snapshot(rows.withColumn("bairro", broken.cast("string")), live, "2003-06", old_period="2003-05")
-    except Exception as error:  # Spark wraps the error of a task in more than one type
-        if "no such month" not in str(error):
-            raise
-    else:
-        raise AssertionError("the second month should have failed")
+    bad = rows.withColumn("bairro", broken.cast("string"))
+    failed_with("no such month", lambda: publish_snapshot(bad, live, "2003-06", old_period="2003-05"))
     return spark.table(live)
 
 
@@ -254,6 +286,7 @@ def queries() -> dict[str, Query]:
                 for name in ("data_inicio_atividade", "data_situacao_cadastral", "data_situacao_especial")
             }
         ),
+        "parse_dates_any": derived("datas", ["o_orderkey", "data"], lambda: {"lida": parse_date_any(col("data"))}),
         "parse_capital": company(lambda: {"capital": derive.parse_capital(col("capital_social"))}),
         "hq_branch_label": establishment(lambda: {"rotulo": derive.branch_label(col("identificador_matriz_filial"))}),
         "status_label": establishment(lambda: {"rotulo": derive.status_label(col("situacao_cadastral"))}),
@@ -336,6 +369,8 @@ def queries() -> dict[str, Query]:
         "raw_csv_tax_status": raw_csv("simples"),
         "raw_csv_quoted": raw_csv("empresas", "raw_empresas_com_separador", '"'),
         "staging_roundtrip": staging_roundtrip,
+        "staging_rollback": staging_rollback,
         "publish_rollback": publish_rollback,
+        "publish_recovery": publish_recovery,
         "snapshot_roundtrip": snapshot_roundtrip,
     }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from firmroll.functions.cleaning import clean_feed
 from firmroll.sources.feeds import read_raw
-from firmroll.sources.storage import staging_name, write_staging
+from firmroll.sources.storage import MOST_BUCKETS, staging_name, write_staging
 
 BUCKET_BYTES = 256 * 1024 * 1024
 
@@ -20,11 +20,14 @@ def ingest_feed(spark: SparkSession, feed: str, paths: str | Sequence[str], quot
 
 
 def bucket_count(spark: SparkSession, raw_root: str, period: str, bucket_bytes: int = BUCKET_BYTES) -> int:
-    """Buckets for all feeds of a month, from the bytes of its largest feed's raw files; their contents are not read."""
+    """Buckets for all feeds of a month, from the bytes of its largest feed's raw files; their contents are not read.
+
+    There are no more than the session allows; buckets grow beyond ``bucket_bytes`` then.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(f"{raw_root.rstrip('/')}/{period}")
     feed = F.regexp_extract("path", r"([A-Za-z]+)[^/]*$", 1)
     largest = files.groupBy(feed).agg(F.sum("length").alias("n")).agg(F.max("n")).first()[0]
-    return max(1, -(-(largest or 0) // bucket_bytes))
+    return min(max(1, -(-(largest or 0) // bucket_bytes)), int(spark.conf.get(MOST_BUCKETS)))
 
 
 def stage_feed(

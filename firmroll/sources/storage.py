@@ -7,9 +7,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from firmroll.sources import switch
 from firmroll.sources.schemas import TARGET_COLUMNS
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+MOST_BUCKETS = "spark.sql.sources.bucketing.maxBuckets"
 _named: list[str] = []
 
 
@@ -59,13 +61,36 @@ def write_staging(df: DataFrame, table: str, buckets: int, key: str = "cnpj_basi
     Rows travel once, hashed as the buckets are, so each task writes one bucket. A bucket that outgrows the advisory
     partition size, as one with a very large company does, is split over several tasks by adaptive execution, which
     add files to the same bucket.
+
+    Every load writes a table of its own, below ``path`` if that is given, and ``table`` is a name that is then switched
+    to it in one step: until a load has succeeded, readers have the one before, and a failing load changes nothing. The
+    table that a load replaces is kept for those who are still reading it; the next load drops it.
     """
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+    spark = df.sparkSession
+    limit = int(spark.conf.get(MOST_BUCKETS))
+    if buckets > limit:
+        raise ValueError(f"{buckets} buckets are above {MOST_BUCKETS} = {limit}")
+    table = switch.qualified(spark, table)
+    fresh = switch.version_of(table)
     placed = df.hint("rebalance", buckets, F.col(key))
-    writer = placed.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    writer = placed.write.mode("errorifexists").format("parquet").bucketBy(buckets, key).sortBy(key)
     if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+        writer = writer.option("path", f"{path.rstrip('/')}/{fresh.rpartition('.')[2]}")
+    before = switch.target(spark, table)
+    try:
+        writer.saveAsTable(fresh)
+        if before == table:  # a plain table takes a versioned name, once
+            before = switch.version_of(table)
+            switch.rename(spark, table, before)
+        switch.point(spark, table, fresh)
+    except Exception:
+        if before and not spark.catalog.tableExists(table):
+            switch.rename(spark, before, table)
+        switch.drop_table(spark, fresh)
+        raise
+    for old in switch.versions(spark, table):
+        if old not in (before, fresh):
+            switch.drop_table(spark, old)
 
 
 def read_snapshot(spark: SparkSession, table: str) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from firmroll.functions import derive
+from firmroll.functions.dates import parse_date_any
 
 
 def value(spark, column, *row):
@@ -31,6 +32,44 @@ def test_parse_date(spark, text, expected):
     assert value(spark, derive.parse_date, text) == expected
 
 
+@pytest.mark.parametrize(
+    "text,expected",
+    [
+        ("20251231", dt.datetime(2025, 12, 31)),
+        ("20240229", dt.datetime(2024, 2, 29)),
+        ("20230229", None),
+        ("2024-1-5", dt.datetime(2024, 1, 5)),
+        ("5/1/2024", dt.datetime(2024, 1, 5)),
+        ("10/23/2024", dt.datetime(2024, 10, 23)),
+        ("23.10.24", dt.datetime(2024, 10, 23)),
+        ("1-2-70", dt.datetime(1970, 2, 1)),
+        ("1-2-69", dt.datetime(2069, 2, 1)),
+        ("2024/13/05", None),
+        ("202402", dt.datetime(2024, 2, 1)),
+        ("2024", dt.datetime(2024, 1, 1)),
+        ("20240205101112", dt.datetime(2024, 2, 5, 10, 11, 12)),
+        ("2024-02-05T10:11:12.345Z", dt.datetime(2024, 2, 5, 10, 11, 12)),
+        ("2024-02-05 9:05", dt.datetime(2024, 2, 5, 9, 5)),
+        ("5 Feb 2024", dt.datetime(2024, 2, 5)),
+        ("Sat, 18 Aug 2018 07:22:16 GMT", dt.datetime(2018, 8, 18, 7, 22, 16)),
+        ("February 5, 2024", dt.datetime(2024, 2, 5)),
+        ("5 Anf 2024", None),
+        ("1700000000", dt.datetime(2023, 11, 14, 22, 13, 20)),
+        ("2024-02-05 25:00", None),
+        ("2024-02-05 10:61:00", None),
+        ("00000000", None),
+        ("0", None),
+        ("", None),
+        (None, None),
+        ("x", None),
+        ("2024-02-05 x", None),
+        (" 2024-02-05 ", dt.datetime(2024, 2, 5)),
+    ],
+)
+def test_parse_date_any(spark, text, expected):
+    assert value(spark, parse_date_any, text) == expected
+
+
 def test_parse_date_keeps_a_midnight_that_a_clock_change_skipped(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
     try:

@@ -1,4 +1,5 @@
 import datetime as dt
+import threading
 import uuid
 from pathlib import Path
 
@@ -8,12 +9,14 @@ from pyspark.sql import functions as F
 from firmroll.__main__ import main, parser
 from firmroll.checks.fixtures import AS_OF, lookups, view
 from firmroll.fixed_values import FEED_COLUMNS, FEED_FILE_PREFIX, NO_QUOTE
-from firmroll.plans import monthly, publish
+from firmroll.plans import monthly
 from firmroll.plans.enrich import Feeds
+from firmroll.plans.ingest import bucket_count
 from firmroll.plans.metrics import snapshot_metrics
-from firmroll.plans.publish import archive_name, publish_snapshot
+from firmroll.plans.publish import archive_name, publish_snapshot, recover, write_snapshot
+from firmroll.sources import switch
 from firmroll.sources.feeds import write_processed
-from firmroll.sources.storage import clear_scratch, materialise, read_snapshot, write_staging
+from firmroll.sources.storage import MOST_BUCKETS, clear_scratch, materialise, read_snapshot, write_staging
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -36,7 +39,41 @@ def tags(spark, table):
 
 
 def tables(spark, database):
-    return {table.name for table in spark.catalog.listTables(database)}
+    """Names without the versioned tables that they stand for."""
+    return {table.name for table in spark.catalog.listTables(database) if "__" not in table.name}
+
+
+def snapshots(spark, database):
+    return len([t for t in spark.catalog.listTables(database) if "__" in t.name])
+
+
+def state(spark, database):
+    return {name: tags(spark, f"{database}.{name}") for name in tables(spark, database)}
+
+
+class Died(BaseException):
+    """What no handler of errors catches."""
+
+
+@pytest.fixture
+def fail_at(monkeypatch):
+    """Let one step fail: the writing of rows, or the first or second switch of a name."""
+
+    def fail(step, error):
+        calls = []
+        real = switch.point
+
+        def point(session, name, table):
+            calls.append(name)
+            if len(calls) == {"archive": 1, "live": 2}.get(step):
+                raise error
+            real(session, name, table)
+
+        monkeypatch.setattr(switch, "point", point)
+        if step == "write":
+            monkeypatch.setattr("firmroll.plans.publish.write_snapshot", lambda *_: (_ for _ in ()).throw(error))
+
+    return fail
 
 
 def test_archive_name():
@@ -61,29 +98,94 @@ def test_publish_archives_the_previous_month(spark, database):
 
 
 @pytest.mark.parametrize("stale_archive", [False, True])
-@pytest.mark.parametrize("step", ["write", "first rename", "last rename"])
-def test_failure_leaves_everything_as_it_was(spark, database, monkeypatch, stale_archive, step):
+@pytest.mark.parametrize("step", ["write", "archive", "live"])
+def test_failure_leaves_everything_as_it_was(spark, database, fail_at, stale_archive, step):
     live = f"{database}.live"
     publish_snapshot(rows(spark, "old"), live, "2026-01")
     if stale_archive:
         publish_snapshot(rows(spark, "good"), live, "2026-03")
-    before = {name: tags(spark, f"{database}.{name}") for name in tables(spark, database)}
+    before, kept = state(spark, database), snapshots(spark, database)
+    fail_at(step, RuntimeError("no such step"))
+    with pytest.raises(RuntimeError, match="no such step"):
+        publish_snapshot(rows(spark, "new"), live, "2026-03")
+    assert state(spark, database) == before and snapshots(spark, database) == kept
+    assert recover(spark, live) is None
 
-    real = publish._rename
-    failing = {"first rename": "live", "last rename": "live_202603_new"}.get(step)
 
-    def rename(session, old, new):
-        if old == f"{database}.{failing}":
-            raise RuntimeError("no rename")
-        real(session, old, new)
+def test_failing_rows_leave_the_live_table(spark, database):
+    live = f"{database}.live"
+    publish_snapshot(rows(spark, "old"), live, "2026-01")
+    with pytest.raises(Exception, match="no rows"):
+        publish_snapshot(rows(spark, "new").selectExpr("*", "raise_error('no rows') as x"), live, "2026-03")
+    assert state(spark, database) == {"live": ["old"]}
 
-    monkeypatch.setattr(publish, "_rename", rename)
-    bad = rows(spark, "new")
-    if step == "write":
-        bad = bad.selectExpr("*", "raise_error('no rows') as x")
-    with pytest.raises(Exception):
-        publish_snapshot(bad, live, "2026-03")
-    assert {name: tags(spark, f"{database}.{name}") for name in tables(spark, database)} == before
+
+@pytest.mark.parametrize("first", [False, True])
+@pytest.mark.parametrize("step", ["write", "archive", "live"])
+def test_a_dead_process_is_cleared_up(spark, database, monkeypatch, fail_at, first, step):
+    live = f"{database}.live"
+    if not first:
+        publish_snapshot(rows(spark, "jan"), live, "2026-01")
+        publish_snapshot(rows(spark, "feb"), live, "2026-02", "2026-01")
+        publish_snapshot(rows(spark, "feb2"), live, "2026-03", "2026-02")
+    before, kept = state(spark, database), snapshots(spark, database)
+    with monkeypatch.context() as dying:
+        fail_at(step if not first or step != "live" else "archive", Died())
+        with pytest.raises(Died):
+            publish_snapshot(rows(spark, "new"), live, "2026-03", "2026-02")
+        dying.undo()
+    monkeypatch.undo()
+    assert recover(spark, live) == "undone" and recover(spark, live) is None
+    assert state(spark, database) == before and snapshots(spark, database) == kept
+    publish_snapshot(rows(spark, "new"), live, "2026-03", "2026-02")
+    assert tags(spark, live) == ["new"]
+
+
+def test_a_process_that_died_after_the_switch_is_finished(spark, database, monkeypatch):
+    live = f"{database}.live"
+    publish_snapshot(rows(spark, "feb"), live, "2026-02")
+    publish_snapshot(rows(spark, "mar"), live, "2026-03", "2026-02")
+    kept = snapshots(spark, database)
+    with monkeypatch.context() as dying:
+        dying.setattr("firmroll.plans.publish.Publication.finish", lambda *_: (_ for _ in ()).throw(Died()))
+        with pytest.raises(Died):
+            publish_snapshot(rows(spark, "mar2"), live, "2026-03", "2026-02")
+    assert recover(spark, live) == "finished"
+    assert state(spark, database) == {"live": ["mar2"], "live_202602": ["mar"]} and snapshots(spark, database) == kept
+
+
+def test_a_reader_finds_the_live_table_at_any_time(spark, database):
+    live, seen, stop = f"{database}.live", [], threading.Event()
+    publish_snapshot(rows(spark, "m0"), live, "2026-01")
+
+    def poll():
+        while not stop.is_set():
+            try:
+                seen.append(tags(spark, live)[0])
+            except Exception as error:
+                seen.append(error)
+
+    reader = threading.Thread(target=poll)
+    reader.start()
+    for month in range(1, 6):
+        publish_snapshot(rows(spark, f"m{month}"), live, f"2026-0{month + 1}", f"2026-0{month}")
+    stop.set()
+    reader.join()
+    assert all(isinstance(tag, str) for tag in seen), seen[-1]
+    assert seen == sorted(seen) and len(set(seen)) > 2
+
+
+def test_a_plain_table_becomes_a_switched_name(spark, database, tmp_path, fail_at, monkeypatch):
+    live = f"{database}.live"
+    write_snapshot(rows(spark, "old"), live, str(tmp_path / "old"))
+    with monkeypatch.context():
+        fail_at("live", Died())  # the first switch adopts the table
+        with pytest.raises(Died):
+            publish_snapshot(rows(spark, "new"), live, "2026-02", "2026-01")
+    monkeypatch.undo()
+    assert recover(spark, live) == "undone" and state(spark, database) == {"live": ["old"]}
+    publish_snapshot(rows(spark, "new"), live, "2026-02", "2026-01")
+    assert state(spark, database) == {"live": ["new"], "live_202601": ["old"]}
 
 
 def test_blank_state_survives_the_partitioned_table(spark, database):
@@ -98,11 +200,53 @@ def test_staging_table_is_replaced_bucketed_and_whole(spark, database):
     write_staging(rows(spark, "a"), table, buckets=4)
     write_staging(partners, table, buckets=4)
     assert sorted(spark.table(table).collect()) == sorted(partners.collect())
-    described = {row["col_name"]: row["data_type"] for row in spark.sql(f"describe extended {table}").collect()}
+    behind = switch.target(spark, table)
+    described = {row["col_name"]: row["data_type"] for row in spark.sql(f"describe extended {behind}").collect()}
     assert described["Num Buckets"] == "4" and described["Bucket Columns"] == "[`cnpj_basico`]"
     assert described["Sort Columns"] == "[`cnpj_basico`]"
 
 
+def test_a_failing_load_keeps_the_one_before(spark, database, monkeypatch):
+    table = f"{database}.socios_202603"
+    write_staging(rows(spark, "a"), table, buckets=2)
+    reader = spark.table(table)
+    with pytest.raises(Exception, match="bad feed"):
+        write_staging(rows(spark, "b").selectExpr("*", "raise_error('bad feed') as x"), table, buckets=2)
+    assert tags(spark, table) == ["a"] and snapshots(spark, database) == 1
+    with monkeypatch.context() as broken:
+        broken.setattr(switch, "point", lambda *_: (_ for _ in ()).throw(RuntimeError("no switch")))
+        with pytest.raises(RuntimeError):
+            write_staging(rows(spark, "b"), table, buckets=2)
+    assert tags(spark, table) == ["a"] and snapshots(spark, database) == 1
+    write_staging(rows(spark, "b"), table, buckets=3)
+    assert [r["tag"] for r in reader.collect()] == ["a"] and tags(spark, table) == ["b"]
+    write_staging(rows(spark, "c"), table, buckets=2)
+    assert tags(spark, table) == ["c"] and snapshots(spark, database) == 2
+
+
+def test_a_plain_staging_table_is_replaced(spark, database):
+    table = f"{database}.socios_202603"
+    rows(spark, "a").write.saveAsTable(table)
+    write_staging(rows(spark, "b"), table, buckets=2)
+    assert tags(spark, table) == ["b"]
+
+
+def test_buckets_stay_within_the_session_limit(spark, database, tmp_path):
+    (tmp_path / "2026-03").mkdir()
+    (tmp_path / "2026-03" / "Socios0.csv").write_bytes(b"x" * 5000)
+    assert bucket_count(spark, str(tmp_path), "2026-03", 1) == 5000
+    spark.conf.set(MOST_BUCKETS, "6")
+    try:
+        buckets = bucket_count(spark, str(tmp_path), "2026-03", 1)
+        assert buckets == 6
+        write_staging(rows(spark, "a"), f"{database}.socios_202603", buckets)
+        with pytest.raises(ValueError, match="7 buckets"):
+            write_staging(rows(spark, "b"), f"{database}.socios_202603", 7)
+    finally:
+        spark.conf.unset(MOST_BUCKETS)
+    assert tags(spark, f"{database}.socios_202603") == ["a"]
+
+
 def test_staging_spreads_a_company_with_a_third_of_all_rows(spark, database):
     table = f"{database}.socios_202604"
     df = spark.range(3000).selectExpr(
@@ -114,7 +258,8 @@ def test_staging_spreads_a_company_with_a_third_of_all_rows(spark, database):
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert spark.table(table).count() == 3000
-    files = spark.table(table).where("cnpj_basico = 'big'").select("_metadata.file_path").distinct().count()
+    behind = spark.table(switch.target(spark, table))
+    files = behind.where("cnpj_basico = 'big'").select("_metadata.file_path").distinct().count()
     assert files > 1
     assert spark.table(table).groupBy("cnpj_basico").count().where("count > 1").first()["count"] == 1000
 
