@@ -24,7 +24,7 @@ def number_sorted(
 
     Rows are range-partitioned and sorted by (group, order) and stored with their position. Then each (partition,
     group) needs a single offset: how many rows of the group lie in earlier partitions. Groups are contiguous, so
-    there are fewer offsets than partitions plus groups, and only those are broadcast. Call it with few groups.
+    there are fewer offsets than partitions plus groups; they are stored, and Spark broadcasts them if they are small.
 
     Rows that tie in ``order`` stay in one task. ``spread_copies`` breaks ties by the position in ``df``, so that
     even full copies of one row spread; it needs a ``df`` that is a plain scan, where positions are repeatable.
@@ -47,10 +47,11 @@ def number_sorted(
         *[F.col(name).alias(f"_group_{i}") for i, name in enumerate(group)],
         (F.col("_first") - F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).alias("_offset"),
     )
+    offsets = materialise(offsets, "offsets")
     same_block = [partition == F.col("_partition")] + [
         F.col(name).eqNullSafe(F.col(f"_group_{i}")) for i, name in enumerate(group)
     ]
-    return stored.join(F.broadcast(offsets), same_block, "inner").select(
+    return stored.join(offsets, same_block, "inner").select(
         *df.columns, (F.col(POSITION) - F.col("_offset") + 1).alias(out)
     )
 
@@ -97,8 +98,9 @@ def number_ranged(
 
     Ranges of (group, order) are cut by bounds from ``keys``, a narrow scan with those columns. Counting the rows per
     range and group reads only what those columns need. Then the rows move to their range, are sorted there, and get
-    the number within it plus the rows of the group in earlier ranges. Ranges and groups follow each other, so there
-    are fewer counts than ranges plus groups, and only those are broadcast. ``first`` names columns that are functions
+    the number within it plus the rows of the group in earlier ranges. Ranges and groups follow each other, so at most
+    the first group of a range has rows in earlier ones: there are fewer such offsets than ranges, however many the
+    groups, and only those are broadcast. ``first`` names columns that are functions
     of the group and shall lead the sort, such as the one a table is partitioned by.
     """
     parts = slices(df)
@@ -109,15 +111,15 @@ def number_ranged(
     offsets = counts.select(
         F.col(RANGE).alias("_at"),
         *[F.col(name).alias(f"_group_{i}") for i, name in enumerate(group)],
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
-    )
+        F.sum("_rows").over(earlier).alias("_offset"),
+    ).where("_offset is not null")
     within = Window.partitionBy(*first, *group, RANGE).orderBy(*order)
     placed = ranged.repartitionById(parts, F.col(RANGE)).withColumn("_within", F.row_number().over(within))
     same = [F.col(RANGE) == F.col("_at")] + [
         F.col(name).eqNullSafe(F.col(f"_group_{i}")) for i, name in enumerate(group)
     ]
     return placed.join(F.broadcast(offsets), same, "left").select(
-        *df.columns, (F.col("_within") + F.col("_offset")).cast("long").alias(out)
+        *df.columns, (F.col("_within") + F.coalesce("_offset", F.lit(0))).cast("long").alias(out)
     )
 
 

@@ -7,7 +7,7 @@ therefore joined bare, which keeps bucketed tables shuffle-free.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -115,22 +115,26 @@ def joined(feeds: Feeds, lookups: Mapping[str, Lookup], hot: Hot | None = None)
         ],
         KEY,
         hot,
+        scan=all(lookups[name].small for name, _ in ESTABLISHMENT_CODES.values()),
     )
     return _describe_all(rows, lookups, ESTABLISHMENT_CODES | COMPANY_CODES, small=True)
 
 
-def _partner_values(slot: int) -> dict[str, Column]:
+def _partner_values(slot: int, date: Callable[[Column], Column]) -> dict[str, Column]:
     values = {f"{name}_{slot}": F.col(f"{name}_{slot}") for name in PARTNER_COLUMNS if name in PIVOT_SOURCES}
     for name in ("qualificacao_socio", "faixa_etaria", "qualificacao_representante"):
         values[f"desc_{name}_{slot}"] = F.col(f"desc_{name}_{slot}")
     values[f"desc_identificador_socio_{slot}"] = derive.partner_kind_label(F.col(f"identificador_socio_{slot}"))
-    values[f"data_entrada_sociedade_{slot}"] = derive.parse_date(F.col(f"data_entrada_sociedade_{slot}"))
+    values[f"data_entrada_sociedade_{slot}"] = date(F.col(f"data_entrada_sociedade_{slot}"))
     return values
 
 
-def target_values(as_of: dt.date) -> dict[str, Column]:
-    """Those target columns that are not simply the joined column of the same name."""
-    started = derive.parse_date(F.col("data_inicio_atividade"))
+def target_values(as_of: dt.date, date: Callable[[Column], Column] = derive.parse_date) -> dict[str, Column]:
+    """Those target columns that are not simply the joined column of the same name.
+
+    ``date`` reads dates; :func:`firmroll.functions.dates.parse_date_any` takes other shapes than the feeds' own.
+    """
+    started = date(F.col("data_inicio_atividade"))
     mei, simples = F.col("opcao_mei"), F.col("opcao_simples")
     values = {
         "cnpj": derive.full_key(F.col("cnpj_basico"), F.col("cnpj_ordem"), F.col("cnpj_dv")),
@@ -158,9 +162,9 @@ def target_values(as_of: dt.date) -> dict[str, Column]:
         "data_situacao_cadastral", "data_situacao_especial", "data_opcao_simples", "data_exclusao_simples",
         "data_opcao_mei", "data_exclusao_mei",
     ):
-        values[name] = derive.parse_date(F.col(name))
+        values[name] = date(F.col(name))
     for slot in PARTNER_SLOTS:
-        values.update(_partner_values(slot))
+        values.update(_partner_values(slot, date))
     return values
 
 
@@ -182,10 +186,11 @@ def conform(df: DataFrame, values: Mapping[str, Column] | None = None) -> DataFr
 
 
 def enriched_rows(
-    feeds: Feeds, lookups: Mapping[str, DataFrame], as_of: dt.date, hot: Hot | None = None
-) -> DataFrame:
-    """The target without its row number. ``as_of`` is the day that ages are counted to."""
-    return conform(joined(feeds, measured(lookups), hot), target_values(as_of))
+    feeds: Feeds, lookups: Mapping[str, DataFrame], as_of: dt.date, hot: Hot | None = None,
+    date: Callable[[Column], Column] = derive.parse_date,
+) -> DataFrame:
+    """The target without its row number. ``as_of`` is the day that ages are counted to, ``date`` reads dates."""
+    return conform(joined(feeds, measured(lookups), hot), target_values(as_of, date))
 
 
 def number_by_uf(rows: DataFrame, keys: DataFrame | None = None) -> DataFrame:
@@ -199,8 +204,9 @@ def number_by_uf(rows: DataFrame, keys: DataFrame | None = None) -> DataFrame:
 
 
 def enrich(
-    feeds: Feeds, lookups: Mapping[str, DataFrame], as_of: dt.date, hot: Hot | None = None
-) -> DataFrame:
+    feeds: Feeds, lookups: Mapping[str, DataFrame], as_of: dt.date, hot: Hot | None = None,
+    date: Callable[[Column], Column] = derive.parse_date,
+) -> DataFrame:
     """The whole target, 96 columns. The wide rows are made once and move once after the joins."""
     keys = active_establishments(feeds.establishments).select(LAYOUT)
-    return number_by_uf(enriched_rows(feeds, lookups, as_of, hot), keys).select(TARGET_SCHEMA.names)
+    return number_by_uf(enriched_rows(feeds, lookups, as_of, hot, date), keys).select(TARGET_SCHEMA.names)

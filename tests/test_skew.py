@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from firmroll.operators import lookups as lookup_module
 from firmroll.operators.lookups import Lookup, describe, measure_lookups
-from firmroll.operators.numbering import number_rows, number_sorted
+from firmroll.operators.numbering import number_ranged, number_rows, number_sorted
 from firmroll.operators.skew import SALT, hot_keys, left_join_all, only_hot, salted, slices, without_hot
 
 
@@ -43,14 +43,36 @@ def test_hot_keys_are_exact(spark, skewed):
     assert hot_keys(skewed.where("v < 0"), "k", 0.5) == {}
 
 
-def test_hot_keys_are_counted_by_all_tasks(spark, monkeypatch):
-    """The counting plan has no step in which a single task sees more than what is above the limit."""
+def test_hot_keys_shuffle_summaries_and_candidates_only(spark, monkeypatch):
+    """No shuffle on the keys of all rows: the first plan merges summaries, the second one counts a few listed keys."""
     plans = []
     kind = type(spark.range(1))
-    collect = kind.collect
-    monkeypatch.setattr(kind, "collect", lambda df: plans.append(explained(df)) or collect(df))
-    hot_keys(spark.range(1000).selectExpr("cast(id % 7 as string) as k"), "k", 0.5)
-    assert plans and all("SinglePartition" not in text and "partial_count" in text for text in plans)
+    for name in ("collect", "first"):
+        real = getattr(kind, name)
+        monkeypatch.setattr(kind, name, lambda df, real=real: plans.append(explained(df)) or real(df))
+    hot_keys(spark.range(1000).selectExpr("cast(if(id % 2 = 0, 0, id) as string) as k"), "k", 0.3)
+    summaries, counts = [p for p in plans if "approx" in p.lower()], [p for p in plans if "approx" not in p.lower()]
+    assert summaries and counts
+    assert all("hashpartitioning(part" in p and "hashpartitioning(key" not in p for p in summaries)
+    assert all("partial_count" in p and "Filter" in p and "SinglePartition" not in p for p in counts)
+
+
+def test_hot_keys_among_very_many(spark):
+    """Every key just above the limit is found among a long tail, over many tasks."""
+    parts = slices(spark.range(1))
+    rows = spark.range(0, 400_000, 1, 12).selectExpr("if(id % 100 < 60, concat('hot', id % 4), concat('k', id)) as k")
+    assert hot_keys(rows, "k", 0.1) == {f"hot{i}": min(parts, max(2, -(-15 * parts // 100))) for i in range(4)}
+    assert hot_keys(rows.where("k not like 'hot%'"), "k") == {}
+
+
+def test_copies_of_one_row_spread_over_all_slices(spark):
+    copies = spark.range(0, 4000, 1, 4).selectExpr("'hot' as k", "1 as v")
+    assert copies.select(F.lit(1)).count() == 4000
+    per_slice = salted(copies, "k", ["hot"], scan=True).groupBy(SALT).count().collect()
+    assert len(per_slice) == slices(copies) and max(r["count"] for r in per_slice) < 4000 / slices(copies) * 1.5
+    right = spark.createDataFrame([("hot", 7)], "k string, w int")
+    joined = left_join_all(copies, [right], "k", ["hot"], scan=True)
+    assert joined.where("w = 7").count() == 4000
 
 
 def test_salting_spreads_a_key_over_all_slices(spark, skewed):
@@ -167,6 +189,21 @@ def test_number_rows(spark, skewed, hot):
     assert counted(number_rows(skewed, "k", ["v"], "n", hot).select("k", "v", "n")) == brute_numbers(rows)
 
 
+@pytest.mark.usefixtures("tiny_partitions")
+def test_as_many_groups_as_rows(spark):
+    """No broadcast grows with the groups: offsets are fewer than ranges, or are joined as Spark sees fit."""
+    frame = spark.range(0, 3000, 1, 4).selectExpr("cast(if(id % 3 = 0, -1, id) as int) as k", "id as v")
+    expected = brute_numbers([tuple(row) for row in frame.collect()])
+    assert counted(number_ranged(frame, frame, ["k"], ["v"], "n").select("k", "v", "n")) == expected
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sorted_ = number_sorted(frame, ["k"], ["v"], "n")
+        assert "BroadcastExchange" not in explained(sorted_)
+        assert counted(sorted_.select("k", "v", "n")) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_empty_input(spark, skewed):
     nothing = skewed.where("v < 0")
     assert number_rows(nothing, "k", ["v"], "n").count() == 0
