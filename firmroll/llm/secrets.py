@@ -3,7 +3,8 @@
 Method: every run of at least ``MIN_LENGTH`` token characters outside the base spans is a candidate. '=' only pads its
 end: a run is cut at any other, so that the value of NAME=value is tested by itself. A part that mixes '+' or '/' with
 '_' or '-' fits no alphabet; its longest runs without the ones, without the others and without both are candidates
-instead, and of discoveries that lie within each other the longest counts. A candidate's encoding is inferred from the characters it has. Under "uniform over that alphabet" three tests are made: chi-squared on the
+instead, and of discoveries that lie within each other the longest counts. A candidate's encoding is inferred from the
+characters it has. Under "uniform over that alphabet" three tests are made: chi-squared on the
 symbols' counts, a runs test on the halves of the alphabet, and lag-1 serial correlation; Fisher's method combines them,
 and a candidate that they reject is no secret. Whether the rest are secrets is tested against "written by people": the
 number of equal pairs of characters, of which ordinary writing has many more, and the chance that ordinary writing of
@@ -39,6 +40,8 @@ RANDOM = "random"
 # Parameters of the method.
 MIN_LENGTH = 20
 TOKEN = f"[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}"
+# Maximal runs without '=', and the '=' that end a whole token.
+RUN = f"[A-Za-z0-9+/_-]{{{MIN_LENGTH},}}(?:=+(?![A-Za-z0-9+/_=-]))?"
 FALSE_DISCOVERIES = 0.01
 LEAST_RANDOM = 0.001
 # Ordinary writing: chance that two, and three, of its letters are equal.
@@ -63,16 +66,46 @@ def _sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def positions(text: str, pattern: str, found: str) -> str:
-    """SQL: (start, end) in code points of the matches ``found`` of ``pattern``, from the lengths of all parts."""
-    return (
-        f"if(size({found}) = 0, cast(array() as array<struct<start:bigint,end:bigint>>), aggregate("
+def _let(name: str, value: str, body: str) -> str:
+    """SQL: ``body`` with ``name`` standing for ``value``, which is evaluated once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def running(values: str, step: str) -> str:
+    """SQL: running results of ``step`` (of ``top`` and ``v``) over an array of bigint, which are not negative.
+
+    Appending to an array copies it, so it is done in blocks of as many elements as there are blocks.
+    """
+    none = "cast(array() as array<bigint>)"
+    block = (
+        "aggregate(slice(x, k * b + 1, b), struct(s.top as top, cast(array() as array<bigint>) as part), (u, v) ->"
+        f" {_let('o', step.replace('top', 'u.top'), 'struct(o as top, array_append(u.part, o) as part)')})"
+    )
+    blocks = (
+        "aggregate(sequence(0, cast((size(x) - 1) div b as int)),"
+        " struct(0L as top, cast(array() as array<array<bigint>>) as done),"
+        f" (s, k) -> {_let('p', block, 'struct(p.top as top, array_append(s.done, p.part) as done)')}, s -> flatten(s.done))"
+    )
+    return _let("x", values, f"if(size(x) = 0, {none}, {_let('b', 'cast(ceil(sqrt(size(x))) as int)', blocks)})")
+
+
+def positions(text: str, pattern: str, found: str, length: str = "length") -> str:
+    """SQL: (start, end) of the matches ``found`` of ``pattern``, from the lengths of all parts."""
+    sizes = (
         f"zip_with(slice(split({text}, {_sql_text(pattern)}, -1), 1, size({found})), {found},"
-        " (gap, m) -> struct(length(gap) as gap, length(m) as size)),"
-        " struct(0L as upto, cast(array() as array<struct<start:bigint,end:bigint>>) as spans),"
-        " (s, x) -> struct(s.upto + x.gap + x.size as upto, concat(s.spans,"
-        " array(struct(s.upto + x.gap as start, s.upto + x.gap + x.size as end))) as spans), s -> s.spans))"
+        f" (gap, m) -> cast({length}(gap) + {length}(m) as bigint))"
+    )
+    return f"zip_with({running(sizes, 'top + v')}, {found}, (e, m) -> struct(e - {length}(m) as start, e as end))"
+
+
+def _below(value: str, starts: str) -> str:
+    """SQL: how many of the sorted ``starts`` are below ``value``, by binary search."""
+    step = (
+        f"if(s.low < s.high, if(get({starts}, (s.low + s.high) div 2) < {value},"
+        " struct(cast((s.low + s.high) div 2 + 1 as int) as low, s.high as high),"
+        " struct(s.low as low, cast((s.low + s.high) div 2 as int) as high)), s)"
     )
+    return f"aggregate(sequence(0, length(bin(size({starts})))), struct(0 as low, size({starts}) as high), (s, i) -> {step}, s -> s.low)"
 
 
 def _parts(run: str, pattern: str) -> str:
@@ -98,10 +131,14 @@ def _case(column: int) -> str:
     return f"case {' '.join(parts)} end"
 
 
-def scanned(docs: DataFrame, t: str = "t", base: str = "base", candidates: str = "found") -> DataFrame:
+def scanned(
+    docs: DataFrame, t: str = "t", base: str = "base", candidates: str = "found", length: str = "length"
+) -> DataFrame:
     """Add ``base`` (array of start, order, end, kind) and ``found`` (candidates with their evidence) to each row.
 
-    A null text counts as empty. Positions are code points, the end exclusive.
+    A null text counts as empty. Positions are code points, or bytes with ``length`` octet_length; the end is exclusive.
+    Very long texts and texts of very many spans take time in proportion to their length, and to the number of spans to
+    the power of 1.5.
     """
     df = docs.withColumn(t, text_or_empty())
     own = list(df.columns)
@@ -109,28 +146,31 @@ def scanned(docs: DataFrame, t: str = "t", base: str = "base", candidates: str =
         df = df.withColumn(f"_secret_{kind}", F.regexp_extract_all(t, F.lit(pattern), F.lit(0)))
         if group:
             df = df.withColumn(f"_secret_{kind}_value", F.regexp_extract_all(t, F.lit(pattern), F.lit(group)))
-    df = df.withColumn("_secret_token", F.regexp_extract_all(t, F.lit(TOKEN), F.lit(0)))
+    df = df.withColumn("_secret_token", F.regexp_extract_all(t, F.lit(RUN), F.lit(0)))
     spans = []
     for order, (kind, (pattern, group, least)) in enumerate(PATTERNS.items()):
         value = f"_secret_{kind}_value" if group else f"_secret_{kind}"
         spans.append(
-            f"transform(filter(zip_with({positions(t, pattern, f'_secret_{kind}')}, {value}, (p, v) -> struct(p.start as start,"
+            f"transform(filter(zip_with({positions(t, pattern, f'_secret_{kind}', length)}, {value}, (p, v) -> struct(p.start as start,"
             f" {order} as order, p.end as end, length(v) as size)), p -> p.size >= {least}),"
             f" p -> struct(p.start as start, p.order as order, p.end as end, '{kind}' as kind))"
         )
     df = df.withColumn(base, F.expr(f"array_sort(concat({', '.join(spans)}))"))
     runs = (
-        f"zip_with({positions(t, TOKEN, '_secret_token')}, _secret_token,"
+        f"zip_with({positions(t, RUN, '_secret_token', length)}, _secret_token,"
         " (p, v) -> struct(p.start as start, p.end as end, rtrim('=', v) as v))"
     )
-    df = df.withColumn("_secret_runs", F.expr(f"flatten(transform({runs}, r -> {_parts('r', '[^=]+')}))"))
+    df = df.withColumn("_secret_runs", F.expr(runs))
+    df = df.withColumn("_secret_starts", F.expr(f"transform({base}, b -> b.start)"))
+    df = df.withColumn("_secret_reach", F.expr(running(f"transform({base}, b -> b.end)", "greatest(top, v)")))
+    before = _below("c.end", "_secret_starts")
     cut = ", ".join(_parts("r", pattern) for pattern in ("[A-Za-z0-9+/]+", "[A-Za-z0-9_-]+", "[A-Za-z0-9]+"))
     mixed = "r.v rlike '[+/]' and r.v rlike '[_-]'"
     df = df.withColumn(
         "_secret_c1",
         F.expr(
             f"filter(flatten(transform(_secret_runs, r -> if({mixed}, array_distinct(concat({cut})), array(r)))),"
-            f" c -> length(c.v) >= {MIN_LENGTH} and not exists({base}, b -> b.start < c.end and b.end > c.start))"
+            f" c -> length(c.v) >= {MIN_LENGTH} and coalesce(get(_secret_reach, {before} - 1) <= c.start, true))"
         ),
     )
     alphabet, mass = _case(2).replace("when v ", "when c.v "), _case(3).replace("when v ", "when c.v ")
@@ -191,14 +231,14 @@ def all_spans(least: dict[int, int], base: str = "base", found: str = "found") -
     known = " ".join(f"when {k} then {v}" for k, v in sorted(least.items()))
     limit = f"case c.class {known} end" if known else "cast(null as int)"
     judged = f"filter({found}, c -> c.random and coalesce(c.tenth >= {limit}, false))"
-    outermost = (
-        f"filter({judged}, c -> not exists({judged.replace('c.', 'd.').replace('c ->', 'd ->')}, d ->"
-        " d.start <= c.start and d.end >= c.end and d.end - d.start > c.end - c.start))"
-    )
-    added = (
-        f"transform({outermost},"
-        f" c -> struct(c.start as start, {len(KINDS)} as order, c.end as end, '{RANDOM}' as kind))"
-    )
+    # Sorted so that a span comes after all that it lies within.
+    placed = f"array_sort(transform({judged}, c -> struct(c.start as start, -c.end as back)))"
+    outermost = _let(
+        "r", running("transform(j, c -> -c.back)", "greatest(top, v)"),
+        f"transform(filter(j, (c, i) -> i = 0 or get(r, i - 1) < -c.back), c -> struct(c.start as start,"
+        f" {len(KINDS)} as order, -c.back as end, '{RANDOM}' as kind))",
+    )
+    added = _let("j", placed, outermost)
     return F.expr(f"array_sort(concat({base}, {added}))")
 
 
@@ -223,22 +263,26 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 def masked(docs: DataFrame, mask: str = MASK) -> DataFrame:
     """The documents with every span replaced by ``mask`` and ``n_chars`` set anew where a text changed.
 
-    Overlapping spans are replaced as one. Rows without a span stay as they are.
+    Overlapping spans are replaced as one. Rows without a span stay as they are, so do null texts; repeated rows are
+    masked each, and an empty table stays empty. Spans are places in bytes here, so that cutting does not count
+    characters anew for each.
     """
     t, base, found, spans = (free_name(docs, n) for n in ("t", "base", "found", "spans"))
-    least = limits(scanned(docs.select("text"), t, base, found), found)
-    rows = scanned(docs, t, base, found).withColumn(spans, all_spans(least, base, found))
-    united = (
-        f"aggregate({spans}, cast(array() as array<struct<start:bigint,end:bigint>>), (u, s) ->"
-        " if(size(u) > 0 and element_at(u, -1).end > s.start,"
-        " concat(slice(u, 1, size(u) - 1), array(struct(element_at(u, -1).start as start,"
-        " greatest(element_at(u, -1).end, s.end) as end))), concat(u, array(struct(s.start as start, s.end as end)))))"
-    )
+    # Stored first: unfolded in place, the candidates of a row would be made anew for each of them.
+    least = limits(stored(scanned(docs.select("text"), t, base, found).select(found), "candidates"), found)
+    rows = scanned(docs, t, base, found, "octet_length").withColumn(spans, all_spans(least, base, found))
+    heads = f"filter(sequence(0, size({spans}) - 1), i -> i = 0 or get({spans}, i).start >= get(r, i - 1))"
+    last = f"if(n + 1 < size(h), get(h, n + 1), size({spans})) - 1"
+    each = _let("h", heads, f"transform(h, (i, n) -> struct(get({spans}, i).start as start, get(r, {last}) as end))")
+    united = f"if(size({spans}) = 0, cast(array() as array<struct<start:bigint,end:bigint>>), " + _let(
+        "r", running(f"transform({spans}, s -> s.end)", "greatest(top, v)"), each
+    ) + ")"
     gaps = (
         f"transform(sequence(0, size({spans})), i -> struct(if(i = 0, 0L, get({spans}, i - 1).end) as start,"
-        f" if(i = size({spans}), cast(length({t}) as bigint), get({spans}, i).start) as end))"
+        f" if(i = size({spans}), cast(octet_length({t}) as bigint), get({spans}, i).start) as end))"
     )
-    text = f"array_join(transform({gaps}, g -> substring({t}, int(g.start + 1), int(g.end - g.start))), {_sql_text(mask)})"
+    cut = f"transform({gaps}, g -> cast(substring(y, int(g.start + 1), int(g.end - g.start)) as string))"
+    text = f"array_join({_let('y', f'cast({t} as binary)', cut)}, {_sql_text(mask)})"
     some = F.size(spans) > 0
     rows = rows.withColumn(spans, F.expr(united))
     rows = rows.withColumn("text", F.when(some, F.expr(text)).otherwise(F.col("text")))

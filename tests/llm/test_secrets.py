@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 import string
+import time
+from itertools import accumulate
 
 import duckdb
 
@@ -149,3 +151,28 @@ def test_parts_of_a_run(documents):
     row = secrets.scanned(documents([(1, text)])).select("found").first()
     at = [text[c["start"] : c["end"]] for c in row.found]
     assert at == [a, f"{b}==", f"b/{a}", a, b, f"{a}+/{b}", a, f"{b}_-", b]
+
+
+def test_very_many_spans_in_one_text(spark, documents):
+    """100,000 digests and as many random keys in one text, within a minute; masked in place."""
+    rng = random.Random(5)
+    lines = [f"é {rng.getrandbits(64):016x}\n" for _ in range(100_000)]
+    keys = [f"{''.join(rng.choices(string.ascii_letters + string.digits, k=44))}\n" for _ in range(20_000)]
+    rows = [(1, "".join(lines)), (2, "".join(keys)), (3, "é plain")]
+    start = time.monotonic()
+    found = {r.doc_id: r for r in secrets.find_secrets(documents(rows)).collect()}
+    assert found[1].n_hex == 100_000 and found[1].spans.startswith("hex:2:18,hex:21:37,")
+    assert found[2].spans.count("random:") > 19_000
+    hidden = {r.doc_id: r.text for r in secrets.masked(documents(rows)).collect()}
+    assert time.monotonic() - start < 120
+    assert hidden[1] == f"é {secrets.MASK}\n" * 100_000 and hidden[3] == "é plain"
+    assert hidden[2].count(secrets.MASK) == found[2].spans.count("random:")
+
+
+def test_running_blocks(spark):
+    rng = random.Random(1)
+    lists = [[rng.randrange(50) for _ in range(n)] for n in (0, 1, 2, 3, 10, 99, 100, 101)]
+    frame = spark.createDataFrame([(x,) for x in lists], "a array<bigint>")
+    sums = frame.selectExpr("a", f"{secrets.running('a', 'top + v')} as s", f"{secrets.running('a', 'greatest(top, v)')} as m")
+    for r in sums.collect():
+        assert r.s == list(accumulate(r.a)) and r.m == list(accumulate(r.a, max))
