@@ -1,5 +1,6 @@
 """Registry analytics on Spark: clean, enrich and publish monthly company registry snapshots."""
 
+from firmroll.functions.dates import parse_date_any
 from firmroll.operators.lookups import describe, measure_lookups
 from firmroll.operators.numbering import number_ranged, number_rows, number_sorted
 from firmroll.operators.partners import partner_rank, top_partners
@@ -8,7 +9,7 @@ from firmroll.plans.enrich import Feeds, active_establishments, enrich, enriched
 from firmroll.plans.ingest import ingest_feed, stage_feed
 from firmroll.plans.metrics import snapshot_metrics
 from firmroll.plans.monthly import publish_month, stage_month
-from firmroll.plans.publish import publish_snapshot
+from firmroll.plans.publish import publish_snapshot, recover
 from firmroll.sources.feeds import read_processed, read_raw, write_processed
 from firmroll.sources.listing import latest_period, latest_period_in_pages
 from firmroll.sources.storage import clear_scratch, read_snapshot, write_staging
@@ -29,12 +30,14 @@ __all__ = [
     "number_ranged",
     "number_rows",
     "number_sorted",
+    "parse_date_any",
     "partner_rank",
     "publish_month",
     "publish_snapshot",
     "read_processed",
     "read_raw",
     "read_snapshot",
+    "recover",
     "salted_left_join",
     "snapshot_metrics",
     "stage_feed",

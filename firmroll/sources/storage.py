@@ -21,11 +21,13 @@ def shared_dir(spark: SparkSession) -> str:
     A database's tables lie on shared storage too, so a session that names no folder still writes nothing to the own
     disk of a machine. The session is left as it is.
     """
-    named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    named = own = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not named:
         named = spark.catalog.getDatabase(spark.catalog.currentDatabase()).locationUri
     if not named:
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
+    if not own and named.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{named} may lie on each machine's own disk; set {CHECKPOINT_SETTING} to a shared folder")
     return named.rstrip("/")
 
 
