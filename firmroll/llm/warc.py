@@ -1,14 +1,17 @@
 """WARC archives: a deterministic sharded writer, and a reader of what it committed.
 
-Method: records are sorted by page over range partitions, whose bounds are quantiles of a sample chosen by hash, so
-they depend on the data alone. Every task writes its records in order, each as a gzip member of its own, and rolls to
-the next file at a compressed size. Headers and digests are made anew from the payload. Files are written under
+Method: records are sorted by (page, payload digest, url digest) over ranges of equal bytes. The ranges are cut where
+the running bytes of all rows, taken from a narrow table without payloads, pass multiples of a target, so they depend on
+the data alone and no sample decides. Every task writes its records in order, each as a gzip member of its own, and
+rolls to the next file at a compressed size. Headers and digests are made anew from the payload. Files are written under
 temporary names that no other attempt uses; the rows that a successful task returns list them. Then they are renamed,
 and last a manifest is written as a table. Readers follow the manifest only, so a lost executor, a second attempt or a
 broken run leaves nothing that is read. The same pages give the same bytes.
 
 Of records with equal payloads of at least ``REVISIT_BYTES`` the one with the largest page is a response and the others
-revisit it: they keep the HTTP headers and leave the payload out. Payloads of revisits are dropped before the sort.
+revisit it: they keep the HTTP headers and leave the payload out. What a record is, is decided on the narrow table; a
+decision travels to its range beside the payload, which moves once. Full copies of one row that are more than a range
+holds are cut into slices of their own and written from a single payload.
 """
 
 from __future__ import annotations
@@ -18,29 +21,38 @@ import gzip
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
+from functools import reduce
 from typing import Any
 from urllib.parse import quote
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from firmroll.llm.common import stored
 
 REVISIT_BYTES = 1000
 ROLL_BYTES = 64 << 20
 PARTITION_BYTES = 64 << 20
-SAMPLE_PER_PARTITION = 64
+# The driver holds one cut per range, so there are never more; files are rolled by size whatever a range holds.
+MOST_RANGES = 8192
+# Bytes of a record besides its payload, and the part of all bytes above which copies of a payload are left out early.
+HEAD_BYTES = 600
+HEAVY_PART = 1024
+# Full copies of a row are cut where they exceed this part of a range, which bounds what a range gets beyond its share.
+SLICES = 4
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _NAMES = uuid.UUID("6d1f1f4e-6a0b-5c55-9f0a-2f2b8d6f6a10")
 _PRINTABLE = "".join(map(chr, range(0x21, 0x7F)))
 MANIFEST = "name string, temporary string, records long, bytes long, sha256 string"
+KEY = ["page_id", "digest", "place"]
 _BATCH = 16 << 20
 
 
@@ -48,8 +60,8 @@ def _field(digest: str) -> str:
     return "sha1:" + base64.b32encode(bytes.fromhex(digest)).decode()
 
 
-def record_id(page_id: int | None, digest: str, copy: int = 0) -> str:
-    return f"<urn:uuid:{uuid.uuid5(_NAMES, f'{page_id}:{digest}:{copy}')}>"
+def record_id(page_id: int | None, digest: str, url: str | None = None, copy: int = 0) -> str:
+    return f"<urn:uuid:{uuid.uuid5(_NAMES, repr((page_id, digest, url, copy)))}>"
 
 
 def _record(fields: list[tuple[str, Any]], block: bytes) -> bytes:
@@ -67,13 +79,13 @@ def page_record(row: dict[str, Any], copy: int) -> bytes:
     url, target = (None if u is None else quote(u, safe=_PRINTABLE) for u in (row["url"], row["refers_url"]))
     fields = [
         ("WARC-Type", row["kind"]),
-        ("WARC-Record-ID", record_id(row["page_id"], row["digest"], copy)),
+        ("WARC-Record-ID", record_id(row["page_id"], row["digest"], row["url"], copy)),
         ("WARC-Date", DATE),
         ("WARC-Target-URI", url),
         ("Page-ID", row["page_id"]),
         ("WARC-Payload-Digest", _field(row["digest"])),
         ("WARC-Profile", PROFILE if revisit else None),
-        ("WARC-Refers-To", record_id(row["refers_to"], row["digest"]) if revisit else None),
+        ("WARC-Refers-To", record_id(row["refers_to"], row["digest"], row["refers_url"]) if revisit else None),
         ("WARC-Refers-To-Target-URI", target if revisit else None),
         ("Refers-To-Page-ID", row["refers_to"] if revisit else None),
         ("Content-Type", "application/http; msgtype=response"),
@@ -123,16 +135,23 @@ class _Roll:
 
 
 def _write(batches: Iterator[pa.RecordBatch], root: str, roll_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted: a group's decision first, then its payloads, or a decision that holds all of a slice."""
     roll = _Roll(root, TaskContext.get().partitionId(), roll_bytes)
-    last, copy = None, 0
+    group: dict[str, Any] = {}
+    copy = 0
     for batch in batches:
         for row in batch.to_pylist():
-            same = (row["page_id"], row["digest"])
-            copy = copy + 1 if same == last else 0
-            last = same
-            if copy and row["kind"] == "response" and row["size"] >= REVISIT_BYTES:
-                row |= {"kind": "revisit", "refers_to": row["page_id"], "refers_url": row["url"], "html": None}
-            roll.write(page_record(row, copy))
+            if row["kind"]:
+                group, copy = row, row["first"]
+                rows = row["copies"]
+            else:
+                rows = 1
+            for _ in range(rows):
+                record = group | {"html": row["html"]}
+                if copy and group["size"] >= REVISIT_BYTES:
+                    record |= {"kind": "revisit"}
+                roll.write(page_record(record, copy))
+                copy += 1
     roll.close()
     names = ["name", "temporary", "records", "bytes", "sha256"]
     columns = zip(*roll.listed, strict=True) if roll.listed else [[]] * 5
@@ -150,45 +169,143 @@ def _rename(batches: Iterator[pd.DataFrame], root: str) -> Iterator[pd.DataFrame
         yield batch
 
 
-def classified(pages: DataFrame) -> DataFrame:
-    """page_id, url, html (bytes, none for a revisit), size, digest, kind, refers_to, refers_url."""
-    rows = pages.select(
-        F.col("page_id").cast("long"), F.col("url"), F.coalesce("html", F.lit("")).cast("binary").alias("html")
-    ).select("*", F.octet_length("html").cast("long").alias("size"), F.sha1("html").alias("digest"))
-    best = F.max(F.struct("page_id", "url"))
-    # Only payloads that repeat; both sides of the join are plain scans, so a payload of very many pages is split.
-    repeated = stored(
-        rows.where(F.col("size") >= REVISIT_BYTES)
-        .groupBy("digest").agg(F.count(F.lit(1)).alias("n"), best.alias("best"))
-        .where("n > 1").select("digest", "best"),
-        "payloads",
-    )
-    joined = rows.join(repeated, "digest", "left")
-    revisit = F.col("best").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("best.page_id"))
-    return joined.select(
-        "page_id", "url", F.when(~revisit, F.col("html")).alias("html"), "size", "digest",
-        F.when(revisit, "revisit").otherwise("response").alias("kind"),
-        F.when(revisit, F.col("best.page_id")).alias("refers_to"),
-        F.when(revisit, F.col("best.url")).alias("refers_url"),
+def _keyed(pages: DataFrame) -> DataFrame:
+    """page_id, url, html (bytes), size, digest, place (the url's digest: a short key for any url)."""
+    html = F.coalesce("html", F.lit("")).cast("binary")
+    rows = pages.select(F.col("page_id").cast("long"), F.col("url"), html.alias("html"))
+    return rows.select(
+        "*",
+        F.octet_length("html").cast("long").alias("size"),
+        F.sha1("html").alias("digest"),
+        F.sha1(F.col("url").cast("binary")).alias("place"),
+    )
+
+
+def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
+    return reduce(Column.__and__, [left[c].eqNullSafe(right[c]) for c in columns])
+
+
+def classified(rows: DataFrame) -> DataFrame:
+    """Groups of equal rows: KEY, url, size, n, kind, refers_to, refers_url, payload_rows. No payload is held or moved.
+
+    ``kind`` is that of the group's first record; further ones of at least ``REVISIT_BYTES`` revisit it, or what it
+    revisits. ``payload_rows`` counts the rows with the same payload.
+    """
+    alike = [F.first("url").alias("url"), F.first("size").alias("size")]
+    groups = stored(rows.groupBy(*KEY).agg(*alike, F.count(F.lit(1)).alias("n")), "pages")
+    repeated = (
+        groups.where(F.col("size") >= REVISIT_BYTES)
+        .groupBy("digest")
+        .agg(F.sum("n").alias("payload_rows"), F.max(F.struct("page_id", "place", "url")).alias("best"))
+        .where("payload_rows > 1")
+    )
+    again = F.col("best").isNotNull()
+    first = F.col("page_id").eqNullSafe(F.col("best.page_id")) & F.col("place").eqNullSafe(F.col("best.place"))
+    return groups.join(repeated, "digest", "left").select(
+        *KEY, "url", "size", "n",
+        F.when(again & ~first, "revisit").otherwise("response").alias("kind"),
+        F.when(again, F.col("best.page_id")).alias("refers_to"),
+        F.when(again, F.col("best.url")).alias("refers_url"),
+        F.coalesce("payload_rows", "n").alias("payload_rows"),
     )
 
 
-def range_bounds(pages: DataFrame, partition_bytes: int = PARTITION_BYTES) -> np.ndarray:
-    """Inner bounds of the partitions: quantiles of the distinct pages whose hash falls in the sample.
+def ranged(groups: DataFrame, parts: int, target: float) -> DataFrame:
+    """Add ``part``, from 0: the running ``weight`` in key order over ``target``. Rows of a slice are in order, too.
 
-    The sample has some ``SAMPLE_PER_PARTITION`` values per partition, whatever the input.
+    Rows are ranged and summed per range first, so no task holds more than a range; the sums, one per shuffle
+    partition, come to the driver. The result does not depend on how the rows were ranged.
     """
-    size = F.sum(F.coalesce(F.octet_length("html"), F.lit(0)).cast("long"))
-    total, rows = pages.agg(size, F.count(F.lit(1))).first()
-    parts = max(1, -(-(total or 0) // partition_bytes))
-    every = max(1, rows // (parts * SAMPLE_PER_PARTITION))
-    chosen = pages.where(F.pmod(F.xxhash64(F.col("page_id").cast("long")), F.lit(every)) == 0)
-    sample = sorted(
-        r[0] for r in chosen.select(F.col("page_id").cast("long")).where("page_id is not null").distinct().collect()
+    order = [F.col(c).asc_nulls_first() for c in [*KEY, "slice"]]
+    dealt = groups.repartitionByRange(*order).withColumn("range", F.spark_partition_id())
+    dealt = stored(dealt, "ranges")
+    sums = sorted((r[0], r[1]) for r in dealt.groupBy("range").agg(F.sum("weight")).collect())
+    before, top = [], 0
+    for number, weight in sums:
+        before += [F.lit(number), F.lit(top)]
+        top += weight
+    start = F.element_at(F.create_map(*before), F.col("range")) if before else F.lit(0)
+    earlier = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    running = F.sum("weight").over(earlier)
+    part = F.floor((start + F.coalesce(running, F.lit(0))) / F.lit(float(target)))
+    return dealt.withColumn("part", F.least(part, F.lit(parts - 1)).cast("int")).drop("range")
+
+
+def _sort_key(page_id: int | None, digest: str, place: str | None, number: int = 0) -> tuple:
+    return (page_id is not None, page_id or 0, digest, place is not None, place or "", number)
+
+
+def planned(pages: DataFrame, partition_bytes: int = PARTITION_BYTES) -> tuple[DataFrame, int]:
+    """All rows that the writer gets, each with its ``part``, and the number of parts.
+
+    Decisions have a ``kind``; payloads have none. A group with more than a ``SLICES``-th of a part's bytes is cut into
+    slices, which need no payload rows: there are fewer such groups than ``SLICES`` times the parts. Payloads of which
+    copies hold more than a ``HEAVY_PART``-th of all bytes, fewer than ``HEAVY_PART``, leave the copies' bytes where
+    they are read.
+    """
+    rows = _keyed(pages)
+    groups = stored(classified(rows), "records")
+    weight = F.col("size") + HEAD_BYTES
+    total = groups.agg(F.sum(F.col("n") * weight)).first()[0] or 0
+    parts = min(max(1, -(-total // partition_bytes)), MOST_RANGES)
+    target = max(1.0, total / parts)
+
+    heavy = groups.where(
+        (F.col("size") >= REVISIT_BYTES) & (F.col("payload_rows") > 1)
+        & (F.col("payload_rows") * F.col("size") * HEAVY_PART > total) & (F.col("kind") == "response")
+    ).select(*KEY)
+    hot = groups.where((F.col("n") > 1) & (F.col("n") * weight > target / SLICES))
+    hot_keys = stored(hot.select(*KEY), "hot")
+    found = rows.join(F.broadcast(hot_keys), _same(rows, hot_keys, KEY), "left_semi")
+    single = stored(found.groupBy(*KEY).agg(F.first("html").alias("html")), "hot-payloads")
+    heavy = stored(heavy.select("digest", F.struct("page_id", "place").alias("kept")), "heavy")
+
+    # Slices of hot groups; every other group is one decision.
+    whole = F.col("size") < REVISIT_BYTES
+    each = F.when(whole, weight).otherwise(HEAD_BYTES)
+    most = F.greatest(F.lit(1), F.floor(F.lit(target / SLICES) / each)).cast("long")
+    cut = hot.withColumn("most", most).select("*", F.explode(F.expr("sequence(0L, (n - 1) div most)")).alias("slice"))
+    cut = cut.withColumn("first", F.col("slice") * F.col("most"))
+    cut = cut.withColumn("copies", F.least(F.col("most"), F.col("n") - F.col("first")))
+    single_payload = F.when(~whole & (F.col("kind") == "response") & (F.col("slice") == 0), F.col("size")).otherwise(0)
+    cut = cut.withColumn("weight", F.col("copies") * each + single_payload)
+    others = groups.join(F.broadcast(hot_keys), _same(groups, hot_keys, KEY), "left_anti")
+    others = others.join(F.broadcast(heavy), "digest", "left")
+    early = F.col("kept").isNotNull() & (F.col("kind") == "revisit")
+    one = others.select(
+        *KEY, "url", "size", "kind", "refers_to", "refers_url", F.lit(0).cast("long").alias("slice"),
+        F.lit(0).cast("long").alias("first"), F.lit(0).cast("long").alias("copies"),
+        (F.col("n") * F.when(early, HEAD_BYTES).otherwise(weight)).alias("weight"),
+    )
+    decisions = ranged(one.unionByName(cut.select(one.columns)), parts, target).drop("weight")
+    decisions = stored(decisions, "decisions")
+
+    cuts = sorted(
+        (_sort_key(r.least.page_id, r.least.digest, r.least.place, r.least.slice), r.part)
+        for r in decisions.groupBy("part").agg(F.min(F.struct(*KEY, "slice")).alias("least")).collect()
     )
-    if not sample:
-        return np.zeros(0, np.int64)
-    return np.unique([sample[i * len(sample) // parts] for i in range(1, parts)]).astype(np.int64)
+    keys, numbers = [k for k, _ in cuts], [n for _, n in cuts]
+
+    @F.pandas_udf("int")
+    def part_of(known: pd.Series, ids: pd.Series, digests: pd.Series, places: pd.Series) -> pd.Series:
+        found = [
+            numbers[bisect_right(keys, _sort_key(i if k else None, d, p)) - 1]
+            for k, i, d, p in zip(known.tolist(), ids.tolist(), digests, places, strict=True)
+        ]
+        return pd.Series(found, dtype="int32")
+
+    # Payloads: not those of hot groups, and no bytes for copies of heavy ones.
+    bare = rows.join(F.broadcast(hot_keys), _same(rows, hot_keys, KEY), "left_anti")
+    bare = bare.join(F.broadcast(heavy), "digest", "left")
+    own = F.col("page_id").eqNullSafe(F.col("kept.page_id")) & F.col("place").eqNullSafe(F.col("kept.place"))
+    payloads = bare.select(
+        *KEY, F.lit(0).cast("long").alias("slice"), F.when(F.col("kept").isNull() | own, F.col("html")).alias("html"),
+        part_of(F.col("page_id").isNotNull(), F.coalesce("page_id", F.lit(0)), "digest", "place").alias("part"),
+    )
+    told = decisions.join(single, _same(decisions, single, KEY) & (decisions["copies"] > 0), "left")
+    html = F.when((F.col("kind") == "response") & (whole | (F.col("slice") == 0)), single["html"])
+    told = told.select(*[decisions[c] for c in decisions.columns], html.alias("html"))
+    return told.unionByName(payloads, allowMissingColumns=True), parts
 
 
 def write_warc(
@@ -201,18 +318,11 @@ def write_warc(
     that a header field cannot hold are percent-encoded in urls.
     """
     spark = pages.sparkSession
-    pages = pages.select("page_id", "url", "html")
-    bounds = range_bounds(pages, partition_bytes)
-
-    @F.pandas_udf("int")
-    def part(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, ids.to_numpy(), side="right").astype(np.int32))
-
+    rows, parts = planned(pages.select("page_id", "url", "html"), partition_bytes)
     system, path = fs.FileSystem.from_uri(root)
     system.create_dir(f"{path}/_temporary", recursive=True)
-    placed = classified(pages).withColumn("part", part(F.coalesce("page_id", F.lit(-(1 << 63)))))
-    dealt = placed.repartitionById(len(bounds) + 1, "part").drop("part")
-    ordered = dealt.sortWithinPartitions("page_id", "digest", "url")
+    dealt = rows.repartitionById(parts, "part").drop("part")
+    ordered = dealt.sortWithinPartitions(*KEY, "slice", F.col("kind").isNull())
     written = stored(ordered.mapInArrow(lambda b: _write(b, root, roll_bytes), MANIFEST), "warc-written")
     moved = stored(written.mapInPandas(lambda b: _rename(b, root), MANIFEST), "warc-moved")
     moved.orderBy("name").write.mode("errorifexists").parquet(f"{root}/manifest")

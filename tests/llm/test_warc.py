@@ -82,3 +82,39 @@ def test_empty_table(spark, tmp_path):
     root = str(tmp_path / "a")
     assert warc.write_warc(spark.createDataFrame([], SCHEMA), root).count() == 0
     assert warc.read_warc(spark, root).count() == 0
+
+
+def test_null_pages_and_copies_are_spread(spark, tmp_path):
+    """A third of the rows without a page, a third full copies of one short and one long row: no task gets them all."""
+    rows = (
+        [(None, f"u{i % 300}", f"null {i} " * 30) for i in range(600)]
+        + [(5, "same", "short")] * 300
+        + [(6, None, "long " * 400)] * 300
+        + [(100 + i, "v", f"{i}" * 150) for i in range(600)]
+    )
+    pages = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    planned, parts = warc.planned(pages, 60_000)
+    sizes = Counter()
+    for r in planned.collect():
+        sizes[r.part] += (warc.HEAD_BYTES * (r.copies or 1) if r.kind is None or r.copies else 0) + len(r.html or b"")
+    assert parts > 15 and len(sizes) > 12
+    assert max(sizes.values()) < 1.5 * 60_000
+    root = str(tmp_path / "a")
+    warc.write_warc(pages, root, partition_bytes=60_000)
+    assert read(spark, root) == expected(rows)
+    ids = [r.record_id for r in warc.read_warc(spark, root).collect()]
+    assert len(set(ids)) == len(ids) == len(rows)
+
+
+def test_ranges_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(warc, "MOST_RANGES", 7)
+    pages = spark.createDataFrame([(i, "u", "x" * 500 + str(i)) for i in range(2000)], SCHEMA)
+    rows, parts = warc.planned(pages, 1000)
+    assert parts == 7 and rows.select("part").distinct().count() == 7
+
+
+def test_heavy_payload_moves_once(spark):
+    rows = [(i, "u", "same " * 1000) for i in range(300)] + [(1000 + i, "u", f"{i} " * 300) for i in range(100)]
+    planned, _ = warc.planned(spark.createDataFrame(rows, SCHEMA), 1 << 20)
+    moved = [r.page_id for r in planned.where("kind is null and html is not null").collect()]
+    assert sorted(moved) == [299, *range(1000, 1100)]
