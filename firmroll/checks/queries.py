@@ -10,7 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmroll.checks.fixtures import AS_OF, lookups, view, views
-from firmroll.fixed_values import FEED_COLUMNS, LOOKUP_COLUMNS, NO_QUOTE, PIVOT_SOURCES, SIZE_OVERRIDE_TABLE
+from firmroll.fixed_values import (
+    FEED_COLUMNS,
+    FILE_ENCODING,
+    LOOKUP_COLUMNS,
+    NO_QUOTE,
+    PIVOT_SOURCES,
+    SIZE_OVERRIDE_TABLE,
+)
 from firmroll.functions import cleaning, derive
 from firmroll.functions.dates import parse_date_any
 from firmroll.operators.lookups import Lookup, describe, measure_lookups
@@ -26,9 +33,9 @@ from firmroll.plans.enrich import (
     number_by_uf,
     override_side,
 )
-from firmroll.plans.ingest import ingest_feed
+from firmroll.plans.ingest import ingest_feed, ingest_marked
 from firmroll.plans.publish import Publication, journal_of, publish_snapshot, recover, snapshot_root
-from firmroll.sources.feeds import read_processed, write_processed
+from firmroll.sources.feeds import REPAIRED_IN, read_processed, write_processed
 from firmroll.sources.listing import compact_period, latest_period, latest_period_in_pages
 from firmroll.sources.storage import read_snapshot, scratch_path, staging_name, write_staging
 
@@ -178,6 +185,22 @@ def raw_csv(feed: str, source: str | None = None, quote: str | None = None) -> Q
     return run
 
 
+def width_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows of which some lack their last fields or have more -> clean rows with what was done to them."""
+    raw = scratch_path(spark, "raw-uneven")
+    fields = [F.coalesce(name, F.lit("")) for name in FEED_COLUMNS["empresas"]]
+    size = F.coalesce(F.length("razao_social"), F.lit(1))
+    line = (
+        F.when(size % 7 == 0, F.concat_ws(";", *fields[:-3]))
+        .when(size % 11 == 0, F.concat_ws(";", *fields, F.lit("one"), F.lit("more")))
+        .otherwise(F.concat_ws(";", *fields))
+    )
+    lines = view(spark, sf_dir, "raw_empresas").select(line.alias("line"))
+    # One field per line, so that the separators in it are written as they are.
+    lines.write.option("sep", "\u0001").option("quote", NO_QUOTE).option("encoding", FILE_ENCODING).csv(raw)
+    return ingest_marked(spark, "empresas", f"{raw}/*.csv").drop(REPAIRED_IN)
+
+
 def scratch_database(spark: SparkSession) -> str:
     name = f"firmroll_check_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
@@ -368,6 +391,7 @@ def queries() -> dict[str, Query]:
         "raw_csv_partners": raw_csv("socios"),
         "raw_csv_tax_status": raw_csv("simples"),
         "raw_csv_quoted": raw_csv("empresas", "raw_empresas_com_separador", '"'),
+        "width_repairs": width_repairs,
         "staging_roundtrip": staging_roundtrip,
         "staging_rollback": staging_rollback,
         "publish_rollback": publish_rollback,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from firmroll.fixed_values import ACTIVE_STATUS, PUBLISHED_UFS
 from firmroll.functions.derive import blank_to_null, parse_capital
 from firmroll.plans.enrich import Feeds, active
+from firmroll.plans.ingest import repaired_rows
 
 
 def _rolled_up(rows: DataFrame) -> DataFrame:
@@ -61,8 +62,14 @@ def _counts(*parts: tuple[str, Column | None, Column]) -> Column:
     ])
 
 
-def snapshot_metrics(feeds: Feeds, published: DataFrame) -> DataFrame:
-    """All counts of a run in long form: ``metric``, ``item``, ``n``. Every table is aggregated once."""
+def snapshot_metrics(
+    feeds: Feeds, published: DataFrame, marked: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
+    """All counts of a run in long form: ``metric``, ``item``, ``n``. Every table is aggregated once.
+
+    ``marked`` has staged feeds whose repaired rows are counted too, as ``padded_rows`` and ``cut_rows`` per
+    ``<feed>/<shard>``; of those tables only the marks are read.
+    """
     one, n = F.count(F.lit(1)), F.col("n")
     dropped = (F.col("situacao_cadastral") == ACTIVE_STATUS) & ~F.col("uf").isin(PUBLISHED_UFS)
     establishments = feeds.establishments.groupBy(
@@ -91,5 +98,8 @@ def snapshot_metrics(feeds: Feeds, published: DataFrame) -> DataFrame:
             _counts(("loaded_rows", F.lit("estabelecimentos"), F.lit(0)), ("published_total", None, F.lit(0))).alias("c")
         ),
     ]
+    for feed, rows in (marked or {}).items():
+        metric, item = F.concat("repair", F.lit("_rows")), F.concat(F.lit(f"{feed}/"), F.col("shard"))
+        parts.append(repaired_rows(rows).select(F.array(F.struct(metric.alias("metric"), item.alias("item"), "n")).alias("c")))
     rows = reduce(DataFrame.unionByName, parts).select(F.inline("c"))
     return rows.groupBy("metric", "item").agg(F.sum("n").alias("n"))

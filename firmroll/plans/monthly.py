@@ -12,7 +12,7 @@ from firmroll.plans.enrich import Feeds, enrich
 from firmroll.plans.ingest import bucket_count, stage_feed
 from firmroll.plans.metrics import snapshot_metrics
 from firmroll.plans.publish import publish_snapshot
-from firmroll.sources.feeds import shard_glob
+from firmroll.sources.feeds import REPAIR, shard_glob
 from firmroll.sources.listing import compact_period
 from firmroll.sources.storage import read_snapshot, staging_name
 
@@ -31,8 +31,13 @@ def stage_month(
     }
 
 
+def staged_tables(spark: SparkSession, period: str, database: str | None = None) -> dict[str, DataFrame]:
+    return {feed: spark.table(staging_name(feed, period, database)) for feed in FEED_COLUMNS}
+
+
 def staged_feeds(spark: SparkSession, period: str, size_override: DataFrame, database: str | None = None) -> Feeds:
-    tables = {feed: spark.table(staging_name(feed, period, database)) for feed in FEED_COLUMNS}
+    staged = staged_tables(spark, period, database)
+    tables = {feed: rows.select(FEED_COLUMNS[feed]) for feed, rows in staged.items()}
     return Feeds(
         establishments=tables["estabelecimentos"],
         companies=tables["empresas"],
@@ -60,7 +65,9 @@ def publish_month(
 ) -> DataFrame:
     """Enrich the staged month and publish it; returns the counts of the run, stored as ``<table>_metrics_<yyyymm>``."""
     feeds = staged_feeds(spark, period, lookups[SIZE_OVERRIDE_TABLE], database)
+    marked = {feed: rows for feed, rows in staged_tables(spark, period, database).items() if REPAIR in rows.columns}
     publish_snapshot(enrich(feeds, lookups, as_of), table, period, old_period, path)
     counts = f"{table}_metrics_{compact_period(period)}"
-    snapshot_metrics(feeds, read_snapshot(spark, table)).write.mode("overwrite").format("parquet").saveAsTable(counts)
+    found = snapshot_metrics(feeds, read_snapshot(spark, table), marked)
+    found.write.mode("overwrite").format("parquet").saveAsTable(counts)
     return spark.table(counts)

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from firmroll.plans.ingest import bucket_count, ingest_feed
+from firmroll.plans.ingest import bucket_count, ingest_feed, ingest_marked, repaired_rows
 from firmroll.sources.feeds import read_processed, read_raw, shard_glob, write_processed
 from firmroll.sources.listing import compact_period, latest_period, latest_period_in_pages, require_period
 from firmroll.sources.schemas import feed_schema
@@ -44,6 +44,23 @@ def test_raw_scan_with_quotes(spark, tmp_path):
     assert asked["1"][:3] == ("1", "A;B", "x")
 
 
+def test_rows_of_the_wrong_width_are_marked(spark, tmp_path):
+    write_lines(tmp_path / "2026-03", "Empresas0.csv", LINES)
+    write_lines(tmp_path / "2026-03", "Empresas1.csv", [b'"6";"a";"b";"c";"d";"e";"f"', b'"7";"a"', b'"8";"a"', b""])
+    write_lines(tmp_path / "2026-03", "Simples.csv", [b'"1";"A;B";"x;";"";"";"";""', b'"2";"S;S;S;S;S;S;S"', b'"3";;;;;;;";"'])
+    rows = ingest_marked(spark, "empresas", shard_glob(str(tmp_path), "2026-03", "empresas"))
+    marks = {r["cnpj_basico"]: (r["width_repair"], r["repaired_in"]) for r in rows.collect()}
+    assert marks["4"] == ("cut", "Empresas0.csv") and marks["6"] == (None, None) and marks["8"] == ("padded", "Empresas1.csv")
+    plain = ingest_feed(spark, "empresas", shard_glob(str(tmp_path), "2026-03", "empresas"))
+    assert rows.drop("width_repair", "repaired_in").collect() == plain.collect()
+    rows.write.parquet(str(tmp_path / "staged"))
+    staged = spark.read.parquet(str(tmp_path / "staged"))
+    counts = {(r["shard"], r["repair"]): r["n"] for r in repaired_rows(staged).collect()}
+    assert counts == {("Empresas0.csv", "cut"): 1, ("Empresas0.csv", "padded"): 4, ("Empresas1.csv", "padded"): 2}
+    quoted = ingest_marked(spark, "simples", shard_glob(str(tmp_path), "2026-03", "simples"))
+    assert {r["cnpj_basico"]: r["width_repair"] for r in quoted.collect()} == {"1": None, "2": "padded", "3": "cut"}
+
+
 def test_shards_of_a_period_are_read_together(spark, tmp_path):
     for shard in range(3):
         write_lines(tmp_path / "2026-03", f"Empresas{shard}.csv", [b'"%d";" NOME %d "' % (shard, shard)])

@@ -9,13 +9,15 @@ from plan_text import explained, operators
 from pyspark.sql import functions as F
 
 from firmroll.checks.fixtures import AS_OF, lookups, view
-from firmroll.fixed_values import FEED_COLUMNS, SIZE_OVERRIDE_TABLE
+from firmroll.fixed_values import FEED_COLUMNS, NO_QUOTE, SIZE_OVERRIDE_TABLE
 from firmroll.functions.cleaning import clean_feed
 from firmroll.operators import lookups as lookup_module
 from firmroll.operators.numbering import range_bounds, range_number
 from firmroll.operators.partners import top_partners
 from firmroll.plans import enrich as plan
+from firmroll.plans.ingest import ingest_marked
 from firmroll.plans.monthly import staged_feeds
+from firmroll.sources.feeds import write_processed
 from firmroll.sources.storage import staging_name, write_staging
 
 SMALL = "/root/testdata/sf0.001"
@@ -180,3 +182,7 @@ def test_cleaning_is_small_enough_to_be_compiled(spark, feed, tmp_path):
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
     sizes = re.findall(r"maxMethodCodeSize:(\d+)", query.explainString(mode))
     assert sizes and max(map(int, sizes)) < 8000
+    write_processed(view(spark, SMALL, f"raw_{feed}"), str(tmp_path / "raw"), header=False, quote=NO_QUOTE)
+    marked = ingest_marked(spark, feed, str(tmp_path / "raw" / "*.csv"))._jdf.queryExecution()
+    sizes = re.findall(r"maxMethodCodeSize:(\d+)", marked.explainString(mode))
+    assert sizes and max(map(int, sizes)) < 8000

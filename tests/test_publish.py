@@ -271,6 +271,8 @@ def test_month_from_raw_files_to_live_table(spark, database, tmp_path):
         (raw / "2003-06").mkdir(parents=True, exist_ok=True)
         for i, part in enumerate(sorted((tmp_path / feed).glob("part-*"))):
             (raw / "2003-06" / f"{FEED_FILE_PREFIX[feed]}{i}.csv").write_bytes(part.read_bytes())
+    with (raw / "2003-06" / "Empresas1.csv").open("ab") as file:
+        file.write(b"99999998\n99999997;a;b;c;d;e;f;g\n99999996;a\n")
     staged = monthly.stage_month(spark, str(raw), "2003-06", database)
     assert staged["empresas"] == f"{database}.empresas_200306"
     live = f"{database}.live"
@@ -280,7 +282,9 @@ def test_month_from_raw_files_to_live_table(spark, database, tmp_path):
     assert found["loaded_rows", "estabelecimentos"] == establishments.count()
     assert found["dropped_rows", "ZZ"] == establishments.where("situacao_cadastral = '02' and uf = 'ZZ'").count()
     assert found["published_total", None] == read_snapshot(spark, live).count() > 0
-    assert found["unreadable_capital", None] == view(spark, SMALL, "empresas").where("capital_social = 'n/d'").count()
+    assert found["padded_rows", "empresas/Empresas1.csv"] == 2 and found["cut_rows", "empresas/Empresas1.csv"] == 1
+    assert sum(metric in ("padded_rows", "cut_rows") for metric, _ in found) == 2
+    assert found["unreadable_capital", None] == view(spark, SMALL, "empresas").where("capital_social = 'n/d'").count() + 1
 
 
 def test_counts_of_hundreds_of_unknown_states(spark):
@@ -305,7 +309,7 @@ def test_stage_command(spark, database, tmp_path, capsys):
     main(["stage", "2026-03", "Simples", "--raw-root", str(tmp_path), "--database", database, "--buckets", "2"])
     table = capsys.readouterr().out.strip().splitlines()[-1]
     assert table == f"{database}.simples_202603"
-    assert [tuple(row) for row in spark.table(table).collect()] == [("1", "S", "20070701", "", "N", "", "")]
+    assert [tuple(row) for row in spark.table(table).collect()] == [("1", "S", "20070701", "", "N", "", "", None, None)]
 
 
 def test_scratch_is_cleared(spark):
