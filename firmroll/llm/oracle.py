@@ -34,12 +34,14 @@ def op1_secret_scan() -> str:
         )
     parts.append(_matches("token_run", secrets.TOKEN, 0))
     abc = " ".join(f"when regexp_matches(v, '{e[1]}') then '{e[2]}'" for e in secrets.ENCODINGS)
-    mass = " ".join(f"when regexp_matches(v, '{e[1]}') then {e[3]}::double" for e in secrets.ENCODINGS)
+    alone, pairs = secrets.written()
+    symbols = "".join(secrets.SYMBOLS)
+    kind = "case when {0} < 26 then 0 when {0} < 52 then 1 when {0} < 62 then 2 else 3 end"
+    uniform = " ".join(f"when {len(e[2])} then {secrets.exponent(1 / len(e[2]))}" for e in secrets.ENCODINGS)
 
     def tail(z: str) -> str:
         return f"(1 / (1 + exp(least(1.5976 * ({z}) + 0.07056 * pow({z}, 3), 600))))"
 
-    p, q = secrets.EQUAL_PAIR, secrets.EQUAL_TRIPLE
     counts = ", ".join(f"count(*) filter (where kind = '{k}') as n_{k}" for k in secrets.KINDS)
     n_columns = ", ".join(f"coalesce(b.n_{k}, 0) as n_{k}" for k in secrets.KINDS)
     listed = "string_agg(kind || ':' || s || ':' || e, ',' order by s, o, e)"
@@ -50,9 +52,14 @@ cand as (select row_number() over () as cid, * from (
   select rid, e - length(m) as s, e, rtrim(m, '=') as v from token_run) c
   where length(v) >= {secrets.MIN_LENGTH}
   and not exists (select 1 from base b where b.rid = c.rid and b.s < c.e and b.e > c.s)),
-enc as (select *, length(v)::double as n, case {abc} end as abc, case {mass} end as mass from cand),
+enc as (select *, length(v)::double as n, case {abc} end as abc from cand),
 chars as (select cid, n, length(abc)::double as a, unnest(range(1, length(v) + 1)) as i, unnest(string_split(v, '')) as ch,
   abc from enc where abc is not null),
+seen as (select cid, i, a, instr('{symbols}', ch) - 1 as k from chars),
+kinds as (select *, {kind.format("k")} as kind, coalesce(lag({kind.format("k")}) over (partition by cid order by i), 3) as before
+  from seen),
+written as (select cid, sum({alone}[k + 1] + {pairs}[4 * before + kind + 1]) - any_value(case a::int {uniform} end) * count(*) as ex
+  from kinds group by cid),
 x as (select cid, i, n, a, ch, (instr(abc, ch) - 1)::double as x, avg((instr(abc, ch) - 1)::double) over (partition by cid) as mean
   from chars),
 pairs as (select cid, sum(c * (c - 1) / 2.0) as u from (select cid, ch, count(*)::double as c from chars group by all) group by cid),
@@ -64,14 +71,13 @@ sums as (select cid, any_value(n) as n, any_value(a) as a, (count(*) filter (whe
 z as (select cid, n, (a / n * (n + 2 * u) - n - (a - 1)) / sqrt(2 * (a - 1) * (n - 1) / n) as zu,
   case when high * (n - high) = 0 then 40 else abs(runs - 1 - 2 * high * (n - high) / n) / sqrt(greatest(2 * high * (n - high)
    * (2 * high * (n - high) - n) / (n * n * (n - 1)), 1e-9)) end as zr,
-  case when spread = 0 then 40 else abs(serial / spread * sqrt(n)) end as zs,
-  (u - n * (n - 1) / 2 * {p}) / sqrt(n * (n - 1) / 2 * {p - p**2} + n * (n - 1) * (n - 2) * {q - p**2}) as zw
+  case when spread = 0 then 40 else abs(serial / spread * sqrt(n)) end as zs
   from sums join pairs using (cid)),
-f as (select cid, rid, s, e, z.n, -2 * (ln({tail("zu")}) + ln(least(1, 2 * {tail("zr")})) + ln(least(1, 2 * {tail("zs")}))) as fi,
-  -log10({tail("-zw")}) - z.n * log10(mass) as ev from z join enc using (cid)),
-judged as (select rid, s, e, floor(log2(n))::int as class, floor(10 * least(ev, 300))::int as tenth,
+f as (select cid, rid, s, e, v, z.n, -2 * (ln({tail("zu")}) + ln(least(1, 2 * {tail("zr")})) + ln(least(1, 2 * {tail("zs")}))) as fi,
+  ex from z join enc using (cid) join written using (cid)),
+judged as (select rid, s, e, v, floor(log2(n))::int as class, floor(least(ex, 300000) / 100.0)::int as tenth,
   exp(-fi / 2) * (1 + fi / 2 + fi * fi / 8) >= {secrets.LEAST_RANDOM} as random from f),
-counted as (select class, tenth, count(*) as n from judged group by all),
+counted as (select class, tenth, count(distinct v) as n from judged group by all),
 ranked as (select class, tenth, sum(n) over (partition by class) as total,
   sum(n) over (partition by class order by tenth desc) as upto from counted),
 limits as (select class, min(tenth) as least from ranked

@@ -6,11 +6,12 @@ end: a run is cut at any other, so that the value of NAME=value is tested by its
 instead, and of discoveries that lie within each other the longest counts. A candidate's encoding is inferred from the
 characters it has. Under "uniform over that alphabet" three tests are made: chi-squared on the
 symbols' counts, a runs test on the halves of the alphabet, and lag-1 serial correlation; Fisher's method combines them,
-and a candidate that they reject is no secret. Whether the rest are secrets is tested against "written by people": the
-number of equal pairs of characters, of which ordinary writing has many more, and the chance that ordinary writing of
-this length keeps to the inferred alphabet. Both grow sharper with length. Benjamini-Hochberg controls the false
-discoveries over all candidates of the corpus, in each length class (powers of two) on its own, so that the many short
-ones cannot crowd out the few long ones.
+and a candidate that they reject is no secret. Whether the rest are secrets is tested against "written by people": how
+much likelier the characters are under the uniform alphabet than in ordinary writing, where letters have very unequal
+shares and upper case, lower case, digits and separators follow their own kind. That the ratio exceeds some value by
+chance has at most its inverse as probability, whatever the length, so it serves as evidence, and grows with length.
+Benjamini-Hochberg controls the false discoveries over all different candidates of the corpus, in each length class
+(powers of two) on its own, so that the many short ones cannot crowd out the few long ones.
 
 Everything is DataFrame and SQL functions, row by row: texts never move. For false-discovery control the evidence is
 kept in tenths of a decimal exponent, so the corpus is summarised by counts per (length class, tenth), and one limit
@@ -19,6 +20,8 @@ per class is applied to the rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -44,24 +47,39 @@ TOKEN = f"[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}"
 RUN = f"[A-Za-z0-9+/_-]{{{MIN_LENGTH},}}(?:=+(?![A-Za-z0-9+/_=-]))?"
 FALSE_DISCOVERIES = 0.01
 LEAST_RANDOM = 0.001
-# Ordinary writing: chance that two, and three, of its letters are equal.
-EQUAL_PAIR, EQUAL_TRIPLE = 0.065, 0.0055
-# Encodings in the order they are tried: name, pattern, alphabet, part of ordinary writing that the alphabet covers.
+# Encodings in the order they are tried: name, pattern, alphabet.
 DIGITS = "0123456789"
 ENCODINGS = (
-    ("hex_upper", "^[0-9A-F]+$", DIGITS + "ABCDEF", 0.3),
-    ("lower", "^[a-z]+$", LOWER, 1.0),
-    ("upper", "^[A-Z]+$", UPPER, 1.0),
-    ("base32", "^[A-Z2-7]+$", UPPER + "234567", 0.9),
-    ("lower_alnum", "^[a-z0-9]+$", LOWER + DIGITS, 0.9),
-    ("letters", "^[A-Za-z]+$", UPPER + LOWER, 1.0),
-    ("alnum", "^[A-Za-z0-9]+$", UPPER + LOWER + DIGITS, 0.95),
-    ("base64", "^[A-Za-z0-9+/]+$", UPPER + LOWER + DIGITS + "+/", 0.95),
-    ("base64url", "^[A-Za-z0-9_-]+$", UPPER + LOWER + DIGITS + "_-", 0.95),
+    ("hex_upper", "^[0-9A-F]+$", DIGITS + "ABCDEF"),
+    ("lower", "^[a-z]+$", LOWER),
+    ("upper", "^[A-Z]+$", UPPER),
+    ("base32", "^[A-Z2-7]+$", UPPER + "234567"),
+    ("lower_alnum", "^[a-z0-9]+$", LOWER + DIGITS),
+    ("letters", "^[A-Za-z]+$", UPPER + LOWER),
+    ("alnum", "^[A-Za-z0-9]+$", UPPER + LOWER + DIGITS),
+    ("base64", "^[A-Za-z0-9+/]+$", UPPER + LOWER + DIGITS + "+/"),
+    ("base64url", "^[A-Za-z0-9_-]+$", UPPER + LOWER + DIGITS + "_-"),
 )
+# Ordinary writing: shares of the letters a to z in European languages, per mille, none taken below 8; chances that a
+# character of the row's kind is followed by one of the column's (upper case, lower case, digit, separator).
+LETTERS = (85, 13, 32, 42, 135, 12, 16, 28, 75, 8, 8, 45, 28, 80, 62, 24, 8, 66, 70, 66, 45, 12, 9, 8, 8, 8)
+FOLLOWS = ((0.30, 0.60, 0.05, 0.05), (0.04, 0.86, 0.03, 0.07), (0.05, 0.07, 0.80, 0.08), (0.20, 0.55, 0.20, 0.05))
+SYMBOLS = (UPPER, LOWER, DIGITS, "+/_-")
 MASK = "<SECRET>"
 
 
+def exponent(chance: float) -> int:
+    """Thousandths of a decimal exponent: whole numbers add up to the same sum in any order."""
+    return round(-1000 * math.log10(chance))
+
+
+def written() -> tuple[list[int], list[int]]:
+    """Exponents of each symbol within its kind, in the order of ``SYMBOLS``, and of each pair of kinds."""
+    letters = [exponent(share / sum(LETTERS)) for share in LETTERS]
+    alone = [*letters, *letters, *[exponent(1 / 10)] * 10, *[exponent(1 / 4)] * 4]
+    return alone, [exponent(chance) for row in FOLLOWS for chance in row]
+
+
 def _sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -122,13 +140,10 @@ def _tail(z: str) -> str:
     return f"(1 / (1 + exp(least(1.5976 * ({z}) + 0.07056 * pow({z}, 3), 600))))"
 
 
-def _case(column: int) -> str:
-    parts = []
-    for encoding in ENCODINGS:
-        value = encoding[column]
-        shown = _sql_text(value) if isinstance(value, str) else f"cast({value} as double)"
-        parts.append(f"when v rlike {_sql_text(encoding[1])} then {shown}")
-    return f"case {' '.join(parts)} end"
+def _alphabet(value: str) -> str:
+    """SQL: the alphabet of the first encoding that fits."""
+    fits = [f"when {value} rlike {_sql_text(pattern)} then {_sql_text(abc)}" for _, pattern, abc in ENCODINGS]
+    return f"case {' '.join(fits)} end"
 
 
 def scanned(
@@ -173,39 +188,46 @@ def scanned(
             f" c -> length(c.v) >= {MIN_LENGTH} and coalesce(get(_secret_reach, {before} - 1) <= c.start, true))"
         ),
     )
-    alphabet, mass = _case(2).replace("when v ", "when c.v "), _case(3).replace("when v ", "when c.v ")
+    alone, pairs = (f"array({', '.join(map(str, values))})" for values in written())
+    kind = "if(k < 26, 0, if(k < 52, 1, if(k < 62, 2, 3)))"
+    sizes = sorted({len(alphabet) for _, _, alphabet in ENCODINGS})
+    uniform = f"case c.a {' '.join(f'when {n} then {exponent(1 / n)}' for n in sizes)} end"
+    # Writing begins as after a separator.
+    follow = (
+        f"aggregate(c.k, struct(0 as sum, 3 as last), (s, k) -> struct(s.sum + get({alone}, k) + get({pairs},"
+        f" 4 * s.last + {kind}) as sum, {kind} as last), s -> s.sum)"
+    )
     steps = [
         # Encoding.
-        f"filter(transform(_secret_c1, c -> struct(c.start, c.end, c.v, cast(length(c.v) as double) as n, {alphabet} as abc,"
-        f" {mass} as mass)), c -> c.abc is not null)",
+        f"filter(transform(_secret_c1, c -> struct(c.start, c.end, c.v, cast(length(c.v) as double) as n, {_alphabet('c.v')} as abc)),"
+        " c -> c.abc is not null)",
         # Symbols as numbers, and equal pairs from the counts per symbol.
-        "transform(_secret_c2, c -> struct(c.start, c.end, c.n, c.mass, cast(length(c.abc) as double) as a,"
+        "transform(_secret_c2, c -> struct(c.start, c.end, c.n, xxhash64(c.v) as id, cast(length(c.abc) as double) as a,"
+        f" transform(filter(split(c.v, '', -1), s -> s != ''), s -> instr({_sql_text(''.join(SYMBOLS))}, s) - 1) as k,"
         " transform(filter(split(c.v, '', -1), s -> s != ''), s -> cast(instr(c.abc, s) - 1 as double)) as x,"
         " aggregate(transform(filter(split(c.abc, '', -1), s -> s != ''), s -> length(c.v) - length(replace(c.v, s, ''))),"
         " 0D, (u, o) -> u + cast(o as double) * (o - 1) / 2) as u))",
         # Sums for the runs and the serial correlation.
-        "transform(_secret_c3, c -> struct(c.start, c.end, c.n, c.mass, c.a, c.u,"
+        "transform(_secret_c3, c -> struct(c.start, c.end, c.n, c.id, c.a, c.u,"
+        f" {follow} - c.n * {uniform} as exponent,"
         " cast(size(filter(c.x, s -> 2 * s >= c.a)) as double) as high,"
         " 1 + aggregate(zip_with(slice(c.x, 1, size(c.x) - 1), slice(c.x, 2, size(c.x) - 1),"
         " (p, q) -> if((2 * p >= c.a) != (2 * q >= c.a), 1D, 0D)), 0D, (u, o) -> u + o) as runs,"
         " aggregate(c.x, 0D, (u, o) -> u + o) / c.n as mean, c.x as x))",
-        "transform(_secret_c4, c -> struct(c.start, c.end, c.n, c.mass, c.a, c.u, c.high, c.n - c.high as low, c.runs,"
+        "transform(_secret_c4, c -> struct(c.start, c.end, c.n, c.id, c.exponent, c.a, c.u, c.high, c.n - c.high as low, c.runs,"
         " aggregate(c.x, 0D, (u, o) -> u + (o - c.mean) * (o - c.mean)) as spread,"
         " aggregate(zip_with(slice(c.x, 1, size(c.x) - 1), slice(c.x, 2, size(c.x) - 1),"
         " (p, q) -> (p - c.mean) * (q - c.mean)), 0D, (u, o) -> u + o) as serial))",
         # Test values.
-        "transform(_secret_c5, c -> struct(c.start, c.end, c.n, c.mass,"
+        "transform(_secret_c5, c -> struct(c.start, c.end, c.n, c.id, c.exponent,"
         " (c.a / c.n * (c.n + 2 * c.u) - c.n - (c.a - 1)) / sqrt(2 * (c.a - 1) * (c.n - 1) / c.n) as z_uniform,"
         " if(c.high * c.low = 0, 40D, abs(c.runs - 1 - 2 * c.high * c.low / c.n) / sqrt(greatest(2 * c.high * c.low *"
         " (2 * c.high * c.low - c.n) / (c.n * c.n * (c.n - 1)), 1e-9))) as z_runs,"
-        " if(c.spread = 0, 40D, abs(c.serial / c.spread * sqrt(c.n))) as z_serial,"
-        f" (c.u - c.n * (c.n - 1) / 2 * {EQUAL_PAIR}D) / sqrt(c.n * (c.n - 1) / 2 * {EQUAL_PAIR - EQUAL_PAIR**2}D"
-        f" + c.n * (c.n - 1) * (c.n - 2) * {EQUAL_TRIPLE - EQUAL_PAIR**2}D) as z_written))",
-        f"transform(_secret_c6, c -> struct(c.start, c.end, c.n, -2 * (ln({_tail('c.z_uniform')}) +"
-        f" ln(least(1D, 2 * {_tail('c.z_runs')})) + ln(least(1D, 2 * {_tail('c.z_serial')}))) as fisher,"
-        f" -log10({_tail('-c.z_written')}) - c.n * log10(c.mass) as evidence))",
-        "transform(_secret_c7, c -> struct(c.start, c.end, cast(floor(log2(c.n)) as int) as class,"
-        " cast(floor(10 * least(c.evidence, 300D)) as int) as tenth,"
+        " if(c.spread = 0, 40D, abs(c.serial / c.spread * sqrt(c.n))) as z_serial))",
+        f"transform(_secret_c6, c -> struct(c.start, c.end, c.n, c.id, c.exponent, -2 * (ln({_tail('c.z_uniform')}) +"
+        f" ln(least(1D, 2 * {_tail('c.z_runs')})) + ln(least(1D, 2 * {_tail('c.z_serial')}))) as fisher))",
+        "transform(_secret_c7, c -> struct(c.start, c.end, c.id, cast(floor(log2(c.n)) as int) as class,"
+        " cast(floor(least(c.exponent, 300000D) / 100) as int) as tenth,"
         f" exp(-c.fisher / 2) * (1 + c.fisher / 2 + c.fisher * c.fisher / 8) >= {LEAST_RANDOM} as random))",
     ]
     for i, step in enumerate(steps, start=2):
@@ -214,10 +236,12 @@ def scanned(
 
 
 def limits(rows: DataFrame, found: str = "found", level: float = FALSE_DISCOVERIES) -> dict[int, int]:
-    """Length class -> least tenth that counts as a discovery. One row per length class comes to the driver."""
-    counts = (
-        rows.select(F.explode(found).alias("c")).groupBy("c.class", "c.tenth").agg(F.count(F.lit(1)).alias("n"))
-    )
+    """Length class -> least tenth that counts as a discovery. One row per length class comes to the driver.
+
+    A value that repeats counts once: tasks first drop their own repeats, so no value is hot.
+    """
+    each = rows.select(F.explode(found).alias("c")).select("c.class", "c.tenth", "c.id").distinct()
+    counts = each.groupBy("class", "tenth").agg(F.count(F.lit(1)).alias("n"))
     group = Window.partitionBy("class")
     ranked = counts.withColumn("all", F.sum("n").over(group)).withColumn(
         "upto", F.sum("n").over(group.orderBy(F.desc("tenth")))

@@ -176,3 +176,29 @@ def test_running_blocks(spark):
     sums = frame.selectExpr("a", f"{secrets.running('a', 'top + v')} as s", f"{secrets.running('a', 'greatest(top, v)')} as m")
     for r in sums.collect():
         assert r.s == list(accumulate(r.a)) and r.m == list(accumulate(r.a, max))
+
+
+def test_short_keys_among_many_words(documents):
+    """Random keys of 20, 24 and 31 characters, less than 1 % of all different candidates of their length class."""
+    rng = random.Random(23)
+    full = string.ascii_letters + string.digits
+    stems = "inter national electro mechanic counter revolution over simplif micro organism photo synthes data manage".split()
+    rows, planted = [], {}
+    for i in range(9000):
+        names = [rng.choice(stems) + rng.choice(stems) + rng.choice(stems) + rng.choice(stems) for _ in range(2)]
+        names.append("".join(rng.choice(stems).capitalize() for _ in range(4)) + str(rng.randrange(100)))
+        names.append("/".join(rng.choice(stems) for _ in range(5)))
+        text = " and ".join(names)
+        if i % 60 == 0:
+            key = "".join(rng.choices(full, k=(20, 24, 31)[i // 60 % 3]))
+            planted[i] = f"random:{len(text) + 1}:{len(text) + 1 + len(key)}"
+            text += f" {key} end"
+        rows.append((i, text))
+    scanned = secrets.scanned(documents(rows)).selectExpr("explode(found) as c").select("c.class", "c.id").distinct()
+    assert scanned.where("class = 4").count() > 100 * len(planted)
+    found = {r.doc_id: r.spans for r in secrets.find_secrets(documents(rows)).collect()}
+    for k in range(3):
+        ids = [i for i in planted if i // 60 % 3 == k]
+        assert sum(planted[i] in found[i] for i in ids) >= 0.9 * len(ids)
+    wrong = sum("random" in spans and i not in planted for i, spans in found.items())
+    assert wrong <= 0.02 * len(planted)
