@@ -120,11 +120,14 @@ def op9_url_filter() -> str:
         on_host = f"(host = '{host}' or ends_with(host, '.{host}')) and starts_with(path, '{path}')"
         fits.append((on_host, host + path, verdict))
 
-    def hits(terms: list[str]) -> str:
+    def hits(weights: dict[str, int]) -> str:
         return " + ".join(
-            f"cast(regexp_matches(low, '(^|[^a-z0-9]){t}([^a-z0-9]|$)') as bigint)" for t in terms
+            f"{n} * cast(regexp_matches(low, '(^|[^a-z0-9]){t}([^a-z0-9]|$)') as bigint)" for t, n in weights.items()
         )
 
+    soft = settings.soft_weights()
+    heavy = f"(n_soft >= {settings.soft_distinct} and soft_weight >= {settings.soft_needed})"
+
     rule = " ".join(f"when {c} then '{r}'" for c, r, _ in fits)
     verdict = " ".join(f"when {c} then '{v}'" for c, _, v in fits)
     return f"""
@@ -134,11 +137,11 @@ with parts as (
   regexp_extract(coalesce(url,''), '://[^/?#]*([^?#]*)', 1) as path,
   translate(coalesce(url,''), '{url_filter.UPPER}', '{url_filter.LOWER}') as low
  from pages),
-hits as (select *, {hits(sorted(set(settings.strict)))} as n_strict,
- {hits(sorted(set(settings.soft) - set(settings.strict)))} as n_soft from parts)
+hits as (select *, {hits(dict.fromkeys(settings.strict, 1))} as n_strict,
+ {hits(dict.fromkeys(soft, 1))} as n_soft, {hits(soft)} as soft_weight from parts)
 select page_id, host, path, case {rule} end as rule,
- case {verdict} when n_strict > 0 or n_soft >= {settings.soft_needed} then 'block' else 'allow' end as verdict,
- n_strict, n_soft
+ case {verdict} when n_strict > 0 or {heavy} then 'block' else 'allow' end as verdict,
+ n_strict, n_soft, soft_weight
 from hits"""
 
 
@@ -188,7 +191,6 @@ m as (select d.rid, doc_id, lang, source, len(words)::bigint as n_words,
 r as (select rid, lang, source, 'word_length' as ratio, case when n_words = 0 then 0 else 100 * word_chars // n_words end as v from m
  union all select rid, lang, source, 'symbols', case when n_words = 0 then 0 else 1000 * n_symbols // n_words end from m
  union all select rid, lang, source, 'dup_lines', case when n_lines = 0 then 0 else 1000 * n_dup_lines // n_lines end from m
- union all select rid, lang, source, 'repeats', case when n_words = 0 then 0 else 1000 * n_repeat_words // n_words end from m
  union all select rid, lang, source, 'capitals', case when word_chars = 0 then 0 else 1000 * n_capitals // word_chars end from m),
 sketch as (select lang, source, ratio, v - v % (1::bigint << greatest(length(bin(v)) - 5, 0)::int) as bin, count(*) as n
  from r group by all),

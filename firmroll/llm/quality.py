@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,12 +26,12 @@ MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 
+# Repeated words have no fence: the slack that clean documents need lies beyond the base rule's own bound.
 # Parameters of the method: ratio -> (least distance of the lower fence, of the upper fence); None: no fence.
 FENCES: dict[str, tuple[int | None, int | None]] = {
     "word_length": (400, 400),  # hundredths of a character
     "symbols": (None, 80),  # per thousand words
     "dup_lines": (None, 400),  # per thousand lines
-    "repeats": (None, 200),  # per thousand words
     "capitals": (None, 200),  # per thousand characters in words
 }
 SPREADS = 3
@@ -40,25 +41,35 @@ COUNTS = [*BASE, "n_lines", "n_capitals"]
 
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
-    """Words that lie in a window found twice or more, the first time included."""
+    """Words that lie in a window found twice or more, the first time included.
+
+    Words, then ever longer windows, get whole numbers as names, equal for equal contents, so a text of any length takes
+    a few arrays of 8 bytes a word, and no two windows are mistaken for each other.
+    """
     n = len(words) - window + 1
     if n < 2:
         return 0
-    grams = list(zip(*(words[i : i + n] for i in range(window)), strict=True))
-    if len(set(grams)) == n:
+    known: dict[bytes, int] = {}
+    names = np.fromiter((known.setdefault(word, len(known)) for word in words), np.int64, len(words))
+    count, grams, bound = len(known), names, len(known)
+    if count == len(words):
+        return 0
+    for length in range(2, window + 1):
+        if bound * count >= 1 << 62:
+            different, grams = np.unique(grams, return_inverse=True)
+            bound = len(different)
+        grams = grams[:-1] * count + names[length - 1 :]
+        bound *= count
+    order = np.argsort(grams, kind="stable")
+    same = np.flatnonzero(grams[order[1:]] == grams[order[:-1]])
+    if not len(same):
         return 0
-    first: dict[tuple, int] = {}
-    twice = bytearray(n)
-    for i, gram in enumerate(grams):
-        j = first.setdefault(gram, i)
-        if j != i:
-            twice[i] = twice[j] = 1
-    total, covered = 0, 0
-    for i in range(n):
-        if twice[i]:
-            total += i + window - max(i, covered)
-            covered = i + window
-    return total
+    twice = np.zeros(n, bool)
+    twice[order[same]] = twice[order[same + 1]] = True
+    covered = np.zeros(len(words), bool)
+    for i in range(window):
+        covered[i : i + n] |= twice
+    return int(covered.sum())
 
 
 def measures(text: str) -> tuple[int, ...]:
@@ -106,7 +117,6 @@ def ratios(m: str = "m") -> dict[str, Column]:
         "word_length": per("word_chars", "n_words", 100),
         "symbols": per("n_symbols", "n_words", 1000),
         "dup_lines": per("n_dup_lines", "n_lines", 1000),
-        "repeats": per("n_repeat_words", "n_words", 1000),
         "capitals": per("n_capitals", "word_chars", 1000),
     }
 
@@ -183,20 +193,19 @@ def judged(docs: DataFrame, limits: DataFrame, m: str = "m", out: str = "kept")
     ``limits`` has one row per language and source. Written tables have a known size, so Spark broadcasts a small one;
     beyond its limit adaptive execution splits the sources that hold many documents.
     """
-    limits = limits.select(
-        F.col("lang").alias("__limit_lang"), F.col("source").alias("__limit_source"),
-        *[F.col(f"{side}_{k}").alias(f"__limit_{side}_{k}") for k in FENCES for side in ("low", "high")],
-    )
+    names = {name: free_name(docs, f"limit_{name}") for name in limits.columns}
+    limits = limits.select(*[F.col(name).alias(free) for name, free in names.items()])
     rows = docs.join(
         limits,
-        (F.coalesce(docs["lang"], F.lit("")) == F.col("__limit_lang"))
-        & (F.coalesce(docs["source"], F.lit("")) == F.col("__limit_source")),
+        (F.coalesce(docs["lang"], F.lit("")) == F.col(names["lang"]))
+        & (F.coalesce(docs["source"], F.lit("")) == F.col(names["source"])),
         "left",
     )
     fine = ~base_failed(m)
     for name, value in ratios(m).items():
-        for side, wrong in (("low", value < F.col(f"__limit_low_{name}")), ("high", value > F.col(f"__limit_high_{name}"))):
-            if FENCES[name][side == "high"] is not None:
+        low, high = (F.col(names[f"{side}_{name}"]) for side in ("low", "high"))
+        for bound, wrong in zip(FENCES[name], (value < low, value > high), strict=True):
+            if bound is not None:
                 fine = fine & ~F.coalesce(wrong, F.lit(False))
     return rows.select(*docs.columns, fine.alias(out))
 
@@ -205,8 +214,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     """Verdict for every row: doc_id, the base counts, base_failed and kept.
 
     Texts are read once; the narrow counts are stored, sketched and joined with the thresholds. A null or empty text
-    has no words and fails the base rule; repeated rows are judged alike; an empty table gives an empty result; other
-    columns are ignored.
+    has no words and fails the base rule; repeated rows are judged alike; a very long text is measured whole
+    in one task; an empty table gives an empty result; other columns are ignored.
     """
     counts = stored(measured(docs.select("doc_id", "lang", "source", "text")).drop("text"), "quality")
     limits = stored(thresholds(sketches(counts)), "thresholds")
@@ -217,7 +226,11 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def good_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, with their own columns. Texts do not move: the counts are made in place."""
+    """The rows of ``docs`` that pass, with their own columns. Texts do not move: the counts are made in place.
+
+    A null or empty text fails; repeated rows pass or fail alike; a very long text is measured whole in one task; an
+    empty table gives an empty result.
+    """
     m = free_name(docs, "m")
     kept = free_name(docs, "kept")
     counts = measured(docs.select("lang", "source", "text"), m)

@@ -37,9 +37,19 @@ def test_repeated_words(seed):
     assert quality.repeated_words(words) == brute_repeats(words)
 
 
+def test_repeated_words_of_many_kinds():
+    """More different words than five names of them fit in 64 bits, and a long text in little time."""
+    words = [b"%d" % i for i in range(20_000)]
+    assert quality.repeated_words(words) == 0
+    assert quality.repeated_words([*words, *words[100:104]]) == 0
+    assert quality.repeated_words([*words, *words[100:105]]) == 10
+    assert quality.repeated_words([*words, b"x", *words]) == 40_000
+    assert quality.repeated_words([b"a"] * 2_000_000) == 2_000_000
+
+
 def test_odd_rows(spark):
     long = " ".join(f"w{i}" for i in range(200_000))
-    schema = "doc_id long, text string, lang string, source string, n_chars long, m string, kept string, _lang int"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, m string, kept string, limit_lang int"
     rows = [
         (1, None, "en", "a", 0, "x", "y", 1),
         (2, "", None, None, 0, "x", "y", 1),

@@ -1,6 +1,10 @@
+import re
+import zlib
+from collections import Counter
+
 import pytest
 
-from firmroll.llm.url_filter import UrlFilter, allowed_pages, judge_urls
+from firmroll.llm.url_filter import UrlFilter, allowed_pages, judge_urls, vocabulary
 
 
 def test_query(same_as_sql):
@@ -48,3 +52,40 @@ def test_repeated_rows_empty_table_and_columns(spark):
 def test_empty_lists(spark, settings):
     pages = spark.createDataFrame([(1, "http://a.org/x")], "page_id long, url string")
     assert judge_urls(pages, settings=settings).first().judged.verdict == "allow"
+
+
+def plain(url, strict, weights, needed):
+    """Terms found by cutting the lower-cased url at everything but ASCII letters and digits: single-word terms only."""
+    words = set(re.split("[^a-z0-9]", re.sub("[A-Z]", lambda m: m[0].lower(), url or "")))
+    soft = words & set(weights) - strict
+    return len(words & strict) > 0 or (len(soft) >= 2 and sum(weights[w] for w in soft) >= needed)
+
+
+def test_vocabulary_from_a_table_over_all_pages(spark, sf_dir):
+    """The words of all urls but the commonest as terms, weights 0 to 4, and 5,000 terms that no url has."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    urls = {r.page_id: r.url for r in pages.collect()}
+    seen = Counter(w for url in urls.values() for w in set(re.split("[^a-z0-9]", (url or "").lower())) - {""})
+    terms = [(w.upper(), "strict" if zlib.crc32(w.encode()) % 50 == 0 else "soft", zlib.crc32(w.encode()) % 5) for w, n in seen.items() if n < 200]
+    terms += [(f"nowhere{i}", "soft", 1) for i in range(5000)]
+    table = spark.createDataFrame(terms, "term string, kind string, weight int")
+    settings = vocabulary(table, soft_needed=5, rules=())
+    strict = {w.lower() for w, kind, _ in terms if kind == "strict"}
+    weights = {w.lower(): n for w, kind, n in terms if kind == "soft"}
+    assert len(settings.strict) == len(strict) and len(settings.soft) == len(weights) and len(terms) > 5000
+    found = {r.page_id: r.judged.verdict for r in judge_urls(pages, settings=settings).collect()}
+    assert found == {i: "block" if plain(url, strict, weights, 5) else "allow" for i, url in urls.items()}
+    assert set(found.values()) == {"allow", "block"}
+
+
+def test_vocabulary_rows(spark):
+    rows = [("Bet", "soft", 2), ("bet", "soft", None), ("x", "soft", 1), ("X", "strict", None), (None, "soft", 1), ("", "strict", 1), ("y", None, 3), ("loan", "soft", None)]
+    table = spark.createDataFrame(rows, "term string, kind string, weight int")
+    settings = vocabulary(table)
+    assert (settings.strict, settings.soft, settings.soft_weights()) == (("x",), ("bet", "loan"), {"bet": 2, "loan": 1})
+    with pytest.raises(ValueError):
+        vocabulary(table, max_terms=2)
+    assert vocabulary(table.limit(0)).soft == ()
+    pages = spark.createDataFrame([(1, "http://a.org/bet"), (2, "http://a.org/bet/loan"), (3, "http://a.org/x")], "page_id long, url string")
+    verdicts = {r.page_id: r.judged.verdict for r in judge_urls(pages, settings=settings).collect()}
+    assert verdicts == {1: "allow", 2: "block", 3: "block"}
