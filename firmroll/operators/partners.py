@@ -76,12 +76,12 @@ def top_partners(
             if not lookup.unique:
                 unfolded += [f"desc_{code}_{slot}" for slot in PARTNER_SLOTS]
 
-    pivot = long.groupBy(KEY).agg(
-        *[
-            F.max(F.when(F.col(RANK) == slot, F.col(name))).alias(f"{name}_{slot}")
-            for slot in PARTNER_SLOTS
-            for name in [*PIVOT_SOURCES, *described]
-        ]
+    # One aggregate per slot, which keeps a row as a whole: one per slot and column would go through each row 33 times.
+    row = F.struct(*PIVOT_SOURCES, *described)
+    slots = long.groupBy(KEY).agg(*[F.max(F.when(F.col(RANK) == slot, row)).alias(f"_slot_{slot}") for slot in PARTNER_SLOTS])
+    pivot = slots.select(
+        KEY,
+        *[F.col(f"_slot_{slot}")[name].alias(f"{name}_{slot}") for slot in PARTNER_SLOTS for name in [*PIVOT_SOURCES, *described]],
     )
     for name in unfolded:
         others = [c for c in pivot.columns if c != name]

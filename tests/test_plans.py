@@ -53,6 +53,12 @@ def test_top_partners_cut_groups_before_their_only_shuffle(spark):
     assert len(limits) == 2 and limits[0] < shuffle < limits[1]
 
 
+def test_the_pivot_has_one_aggregate_per_slot(spark):
+    """Not one per slot and column: each of them goes through every row."""
+    final = next(x for x in explained(top_partners(view(spark, SMALL, "socios"), hot=[]), "simple").splitlines() if "Aggregate" in x)
+    assert final.count("max(") == 3
+
+
 def test_top_partners_read_only_shown_columns(spark, staged):
     schema = re.search(r"ReadSchema: (.*)", explained(top_partners(staged.partners))).group(1)
     assert "representante_legal:" not in schema.replace("qualificacao_representante_legal:", "")
