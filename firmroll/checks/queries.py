@@ -33,7 +33,7 @@ from firmroll.plans.enrich import (
     number_by_uf,
     override_side,
 )
-from firmroll.plans.ingest import ingest_feed, ingest_marked
+from firmroll.plans.ingest import buckets_for, ingest_feed, ingest_marked
 from firmroll.plans.publish import Publication, journal_of, publish_snapshot, recover, snapshot_root
 from firmroll.sources.feeds import REPAIRED_IN, read_processed, write_processed
 from firmroll.sources.listing import compact_period, latest_period, latest_period_in_pages
@@ -262,10 +262,10 @@ def publish_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage all feeds, enrich, publish a month, publish the next one over it, read the live table."""
     database = scratch_database(spark)
-    staged = {}
+    staged, buckets = {}, buckets_for(spark, views(spark, sf_dir, *FEED_COLUMNS), least=8)
     for feed in FEED_COLUMNS:
         staged[feed] = staging_name(feed, "2003-06", database)
-        write_staging(clean(feed)(spark, sf_dir), staged[feed], buckets=8)
+        write_staging(clean(feed)(spark, sf_dir), staged[feed], buckets)
     inputs = Feeds(
         *[spark.table(staged[feed]) for feed in ("estabelecimentos", "empresas", "socios", "simples")],
         view(spark, sf_dir, SIZE_OVERRIDE_TABLE),

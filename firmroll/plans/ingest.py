@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from firmroll.sources.feeds import REPAIR, REPAIRED_IN, read_raw, width_repair
 from firmroll.sources.storage import MOST_BUCKETS, staging_name, write_staging
 
 BUCKET_BYTES = 256 * 1024 * 1024
+BUCKET_ROWS = 1_000_000
 
 
 def ingest_feed(spark: SparkSession, feed: str, paths: str | Sequence[str], quote: str | None = None) -> DataFrame:
@@ -53,6 +54,16 @@ def bucket_count(spark: SparkSession, raw_root: str, period: str, bucket_bytes:
     return min(max(1, -(-(largest or 0) // bucket_bytes)), int(spark.conf.get(MOST_BUCKETS)))
 
 
+def buckets_for(spark: SparkSession, feeds: Iterable[DataFrame], least: int = 1, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Buckets for feeds that are tables, from the rows of the largest one; a plain scan is counted from its footers.
+
+    A bucket is read by one task, so their number has to grow with the rows: a fixed one leaves cores idle and makes every
+    sort of a bucket grow. There are at least ``least`` and no more than the session allows.
+    """
+    largest = max((rows.count() for rows in feeds), default=0)
+    return min(max(least, -(-largest // bucket_rows)), int(spark.conf.get(MOST_BUCKETS)))
+
+
 def stage_feed(
     spark: SparkSession,
     feed: str,

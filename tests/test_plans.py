@@ -15,7 +15,7 @@ from firmroll.operators import lookups as lookup_module
 from firmroll.operators.numbering import range_bounds, range_number
 from firmroll.operators.partners import top_partners
 from firmroll.plans import enrich as plan
-from firmroll.plans.ingest import ingest_marked
+from firmroll.plans.ingest import buckets_for, ingest_marked
 from firmroll.plans.monthly import staged_feeds
 from firmroll.sources.feeds import write_processed
 from firmroll.sources.storage import staging_name, write_staging
@@ -59,6 +59,17 @@ def test_the_pivot_has_one_aggregate_per_slot(spark):
     assert final.count("max(") == 3
 
 
+def test_buckets_grow_with_the_rows_of_the_largest_feed(spark):
+    feeds = [spark.range(10), spark.range(25)]
+    assert [buckets_for(spark, feeds, bucket_rows=n) for n in (5, 10, 100)] == [5, 3, 1]
+    assert buckets_for(spark, feeds, least=8, bucket_rows=10) == 8
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "4")
+    try:
+        assert buckets_for(spark, feeds, bucket_rows=5) == 4
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.maxBuckets")
+
+
 def test_top_partners_read_only_shown_columns(spark, staged):
     schema = re.search(r"ReadSchema: (.*)", explained(top_partners(staged.partners))).group(1)
     assert "representante_legal:" not in schema.replace("qualificacao_representante_legal:", "")
